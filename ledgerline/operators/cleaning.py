@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -309,7 +310,9 @@ def fill_feature_nulls(df: DataFrame, columns: Sequence[str] | None = None,
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     if not cols:
         return df
-    df = df.withColumns({c: finite(F.col(c)) for c in cols})
+    # medians need two passes over the features and the fill a third:
+    # materialize the feature table once instead of recomputing its windows
+    df = df.withColumns({c: finite(F.col(c)) for c in cols}).persist(StorageLevel.MEMORY_AND_DISK)
     df = _one_row_fill(df, column_medians(df, cols), cols)
     return df.fillna(0, subset=cols)
 
