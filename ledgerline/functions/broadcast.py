@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import checkpoint_dir, scratch_path
+
 # A parameter table (per-asset fences, bin edges, offsets per range partition,
 # fitted coefficients) is broadcast only when its row count is at most this.
 # Above it the join stays a shuffle join and AQE decides at run time.
@@ -13,9 +17,24 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``small``, count it, and hint a broadcast only when the count
-    is within ``max_rows``. The persisted table is reused by the later join,
-    so the count does not cost a second computation of it."""
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    """Materialize ``small`` once, count it, and hint a broadcast only when
+    the count is within ``max_rows``; above it the join stays a shuffle join.
+
+    The table is checkpointed (reliably, to the shared folder named by
+    ``spark.checkpoint.dir``): the later join reuses it without recomputing
+    it, it survives executor loss, and its lineage is cut - parameter tables
+    are built from the data they are joined back to, and without the cut
+    every use would carry (and re-plan) the whole upstream plan again."""
+    checkpoint_dir(small.sparkSession)
+    small = small.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
     n = small.count()
     return F.broadcast(small) if n <= max_rows else small
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    read it back: cuts lineage before a table with several consumers (the
+    reads are column-pruned), and survives executor loss."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

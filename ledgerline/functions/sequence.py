@@ -150,3 +150,26 @@ def rows_frame(w: WindowSpec, n: int) -> WindowSpec:
 
 def col_or(df: DataFrame, name: str, default: Column) -> Column:
     return F.col(name) if name in df.columns else default
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], weights: Sequence[str],
+                num_partitions: int | None = None) -> DataFrame:
+    """Running sums of ``weights`` within ``keys`` in ``order`` (inclusive),
+    exact and without a whole-key task: range partitions (bounded), running
+    sums inside each (key, partition), and a small per-(key, partition)
+    total table carried forward. ``order`` must be unique within a key."""
+    keys, order, weights = list(keys), list(order), list(weights)
+    n = num_partitions or _num_partitions(df)
+    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+                .withColumn("_part", F.spark_partition_id())
+                .persist(StorageLevel.MEMORY_AND_DISK))  # both uses see one partitioning
+    w_local = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumns({f"_cum_{c}": F.sum(c).over(w_local) for c in weights})
+    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_tot_{c}") for c in weights])
+    w_before = (Window.partitionBy(*keys) if keys else Window).orderBy("_part") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_part", *[
+        F.coalesce(F.sum(f"_tot_{c}").over(w_before), F.lit(0)).alias(f"_off_{c}") for c in weights])
+    out = local.join(broadcast_if_small(offsets), [*keys, "_part"], "inner")
+    out = out.withColumns({f"cum_{c}": F.col(f"_cum_{c}") + F.col(f"_off_{c}") for c in weights})
+    return out.drop("_part", *[f"_cum_{c}" for c in weights], *[f"_off_{c}" for c in weights])

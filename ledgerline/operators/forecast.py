@@ -52,3 +52,417 @@ def with_best_prediction(backtest: DataFrame, models: Sequence[str] = PREDICTION
                      F.lit(i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(models)]
     best = F.array_min(F.array(*errs))
     return backtest.withColumn("absolute_error", best["e"]).withColumn("best_model", best["m"])
+
+
+# ---------------------------------------------------------------------------
+# Model-based forecasts
+# ---------------------------------------------------------------------------
+
+import math  # noqa: E402
+
+import numpy as np  # noqa: E402
+import pandas as pd  # noqa: E402
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.regression import (GBTRegressor, LinearRegression,  # noqa: E402
+                                   RandomForestRegressor)
+from pyspark.sql import Column  # noqa: E402
+
+from ledgerline.functions.broadcast import broadcast_if_small, materialize  # noqa: E402
+from ledgerline.operators.features import (MODEL_LAGS, WINDOWS, minmax_scale,  # noqa: E402
+                                           model_features, regular_calendar)
+from ledgerline.operators.splits import series_split  # noqa: E402
+
+# Fixed values of the application
+HORIZON = 30
+SEQ_LEN = 10
+AR_ORDER = 5
+YEARLY_ORDER, WEEKLY_ORDER = 10, 3
+INTERVAL_Z = 1.2815515655446004  # two-sided 80% normal interval
+CHECKPOINT_EVERY = 5
+MODEL_NAMES = ["xgboost", "arima", "prophet", "lstm"]
+NON_FEATURES = {"date", "asset", "price", "row_id", "split"}
+
+
+def feature_columns(df: DataFrame) -> list[str]:
+    """Model inputs: numeric columns except the target and identifiers
+    (the rolling statistics include the current row, as in the application)."""
+    from ledgerline.functions.exprs import numeric_columns
+    return [c for c in numeric_columns(df) if c not in NON_FEATURES]
+
+
+def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
+
+
+# F3 / F4 / F5
+def fit_regressor(train: DataFrame, features: Sequence[str], kind: str = "gbt", seed: int = 42,
+                  **params):
+    """Spark ML regressor on the distributed feature table (all assets, one model)."""
+    data = _assembled(train, features)
+    if kind == "linear":
+        est = LinearRegression(featuresCol="features", labelCol="price", regParam=0.0,
+                               **({"solver": "normal"} | params))
+    elif kind == "forest":
+        est = RandomForestRegressor(featuresCol="features", labelCol="price", seed=seed,
+                                    **({"numTrees": 300, "maxDepth": 30} | params))
+    else:
+        est = GBTRegressor(featuresCol="features", labelCol="price", seed=seed,
+                           **({"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.9,
+                               "featureSubsetStrategy": "0.9"} | params))
+    return est.fit(data)
+
+
+def predict(model, df: DataFrame, features: Sequence[str], out: str = "predicted_price") -> DataFrame:
+    pred = model.transform(_assembled(df, features)).withColumn(out, clip0(F.col("prediction")))
+    return pred.drop("features", "prediction")
+
+
+def model_backtest(df: DataFrame, kind: str = "gbt", test_size: float = TEST_SIZE, **params) -> tuple:
+    """Boosted-model features -> time split -> fit on train -> predictions on test."""
+    feats_df = materialize(model_features(df), "model-features")
+    feats = feature_columns(feats_df)
+    split = time_split(feats_df, test_size)
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test")
+    model = fit_regressor(train, feats, kind, **params)
+    return model, feats, predict(model, test, feats)
+
+
+# M12
+def feature_importance(model, features: Sequence[str], spark, top_n: int | None = None) -> DataFrame:
+    """The fitted model's importances (a vector of one weight per feature)."""
+    imp = model.featureImportances.toArray().tolist()
+    df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
+    ordered = df.orderBy(F.col("importance").desc(), "feature")
+    return ordered.limit(top_n) if top_n else ordered
+
+
+# recursive multi-step forecast with the boosted model
+def _window_stats(seq: Column, n: int):
+    """Mean and sample std of the last n values of an array (fewer when short)."""
+    tail = F.slice(seq, -n, n) if n else seq
+    tail = F.when(F.size(seq) < n, seq).otherwise(tail)
+    cnt = F.size(tail).cast("double")
+    s = F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
+    mean = s / cnt
+    ss = F.aggregate(tail, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+    std = F.when(cnt > 1, F.sqrt(ss / (cnt - 1)))
+    return mean, std
+
+
+def _step_features(state: DataFrame, features: Sequence[str], medians: DataFrame, assets: Sequence[str]) -> DataFrame:
+    """Feature row of the next day for every series: the new row carries the
+    last price as a placeholder (as the application does), lags look back
+    from it, rolling frames include it."""
+    nd = F.date_add(F.col("last_date"), 1)
+    seq = F.concat(F.col("hist"), F.array(F.element_at("hist", -1)))
+    size = F.size(seq)
+    cols = {"date": nd, "price": F.element_at(seq, -1)}
+    rets = F.transform(F.sequence(F.lit(2), size), lambda i: F.coalesce(
+        finite_div(F.element_at(seq, i), F.element_at(seq, i - 1)) - 1, F.lit(0.0)))
+    rets = F.when(F.col("complete"), F.concat(F.array(F.lit(0.0)), rets)).otherwise(rets)
+    cols["daily_return"] = F.element_at(rets, -1)
+    for k in MODEL_LAGS:
+        cols[f"price_lag_{k}"] = F.when(size > k, F.element_at(seq, -(k + 1)))
+    for n in WINDOWS:
+        m, s = _window_stats(seq, n)
+        cols[f"price_rolling_mean_{n}"], cols[f"price_rolling_std_{n}"] = m, s
+        cols[f"return_rolling_volatility_{n}"] = _window_stats(rets, n)[1]
+    d = nd
+    qs = F.trunc(d, "quarter")
+    cols.update({"year": F.year(d), "month": F.month(d), "quarter": F.quarter(d), "day": F.dayofmonth(d),
+                 "day_of_week": F.weekday(d), "week_of_year": F.weekofyear(d),
+                 "is_month_start": (F.dayofmonth(d) == 1).cast("int"),
+                 "is_month_end": (d == F.last_day(d)).cast("int"),
+                 "is_quarter_start": (d == qs).cast("int"),
+                 "is_quarter_end": (d == F.date_sub(F.add_months(qs, 3), 1)).cast("int")})
+    for a in assets:
+        cols[f"asset_{a}"] = (F.col("asset") == F.lit(a)).cast("int")
+    out = state.withColumns(cols).crossJoin(F.broadcast(medians))  # one row
+    fill = {c: F.coalesce(F.col(c), F.col(f"_fill_{c}"), F.lit(0.0))
+            for c in features if f"_fill_{c}" in medians.columns}
+    return out.withColumns(fill).drop(*medians.columns)
+
+
+def finite_div(a: Column, b: Column) -> Column:
+    q = F.try_divide(a, b)
+    return F.when(F.isnan(q) | (F.abs(q) == float("inf")), F.lit(None)).otherwise(q)
+
+
+def recursive_forecast(history: DataFrame, model, features: Sequence[str], horizon: int = HORIZON,
+                       keys: Sequence[str] = ("asset",), model_name: str = "xgboost",
+                       checkpoint_every: int = CHECKPOINT_EVERY, medians: DataFrame | None = None) -> DataFrame:
+    """Every series advances one day per step, all series together. State per
+    series: last date and the last 32 prices (enough for lag 14, 30-row
+    frames and the returns inside them); O(h) per series instead of
+    re-engineering the whole history each step. Lineage is cut every
+    ``checkpoint_every`` steps."""
+    keys = list(keys)
+    keep = max(max(WINDOWS) + 2, max(MODEL_LAGS) + 2)
+    w = F.struct("date", "row_id")
+    st = history.groupBy(*keys).agg(F.max_by("date", w).alias("last_date"), F.count(F.lit(1)).alias("_n"),
+                                    F.max_by("row_id", w).alias("_last"))
+    # the last `keep` prices per series: rows ranked from the end; only a
+    # bounded tail per series is collected
+    from ledgerline.functions.sequence import POS, with_positions
+    pos = with_positions(history, keys, ["date", "row_id"])
+    tail = pos.join(broadcast_if_small(st.select(*keys, "_n")), keys).filter(F.col(POS) > F.col("_n") - keep)
+    hist = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(POS, "price"))).alias("_h"))
+    state = st.join(hist, keys).select(*keys, F.col("last_date").cast("date").alias("last_date"),
+                                       F.transform("_h", lambda x: x["price"]).alias("hist"),
+                                       (F.col("_n") < keep).alias("complete"))
+    assets = [c[len("asset_"):] for c in features if c.startswith("asset_")]
+    if medians is None:
+        medians = history.sparkSession.createDataFrame([(0.0,)], "_fill_none double")
+    outputs = []
+    for step in range(1, horizon + 1):
+        feats = _step_features(state, features, medians, assets)
+        pred = predict(model, feats, features, "forecasted_price")
+        outputs.append(pred.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
+        state = pred.select(*keys, F.col("date").alias("last_date"),
+                            F.slice(F.concat("hist", F.array("forecasted_price")), -keep, keep).alias("hist"),
+                            F.when(F.size("hist") + 1 > keep, F.lit(False)).otherwise(F.col("complete"))
+                            .alias("complete"))
+        if step % checkpoint_every == 0:
+            state = state.checkpoint(eager=True)
+            outputs = [materialize(_union(outputs), f"forecast-steps-{step}")]
+    return _union(outputs).withColumn("model_name", F.lit(model_name))
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def training_medians(feature_table: DataFrame) -> DataFrame:
+    """One row of fill values (``_fill_<c>``) for features that are missing
+    at a series' start: the whole-table medians of the unfilled features,
+    the same values the feature table was filled with."""
+    from ledgerline.operators.cleaning import column_medians
+    from ledgerline.operators.features import nullable_columns
+    raw = series_features(feature_table.select("date", "asset", "price", "row_id"), ("asset",),
+                          ("date", "row_id"), lags=MODEL_LAGS, windows=WINDOWS, volatility=True)
+    return column_medians(raw, nullable_columns("price", MODEL_LAGS, WINDOWS, True))
+
+
+def _last_rows(df: DataFrame, keys: Sequence[str], pos: str, n: int) -> DataFrame:
+    """The last ``n`` rows of each series by ``pos`` (a bounded tail; the
+    series itself is never gathered)."""
+    mx = df.groupBy(*keys).agg(F.max(pos).alias("_mx"))
+    return df.join(broadcast_if_small(mx), list(keys)).filter(F.col(pos) > F.col("_mx") - n).drop("_mx")
+
+
+# AR(p) on the differenced regular daily series (re-aim of ARIMA(p,1,0))
+def _solve_udf(k: int, ridge: float = 0.0):
+    @F.pandas_udf("array<double>")
+    def solve(xtx: pd.Series, xty: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(xtx, xty):
+            A = np.asarray(a, dtype=float).reshape(k, k)
+            y = np.asarray(b, dtype=float)
+            A = A + ridge * np.eye(k)
+            try:
+                beta = np.linalg.solve(A, y)
+            except np.linalg.LinAlgError:
+                beta = np.linalg.lstsq(A, y, rcond=None)[0]
+            out.append(beta.tolist())
+        return pd.Series(out)
+    return solve
+
+
+def gram_sums(df: DataFrame, keys: Sequence[str], x: str, y: str, k: int) -> DataFrame:
+    """Per series: X'X (k*k, row-major), X'y and y'y, n - summed with
+    map-side combine from per-row outer products (no series is gathered)."""
+    keys = list(keys)
+    cells = df.select(*keys, F.posexplode(F.concat(
+        F.flatten(F.transform(F.col(x), lambda a: F.transform(F.col(x), lambda b: a * b))),
+        F.transform(F.col(x), lambda a: a * F.col(y)),
+        F.array(F.col(y) * F.col(y), F.lit(1.0)))).alias("_i", "_v"))
+    sums = cells.groupBy(*keys, "_i").agg(F.sum("_v").alias("_s"))
+    arr = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_s"))).alias("_a"))
+    vals = F.transform("_a", lambda e: e["_s"])
+    return arr.select(*keys, F.slice(vals, 1, k * k).alias("xtx"), F.slice(vals, k * k + 1, k).alias("xty"),
+                      F.element_at(vals, k * k + k + 1).alias("yty"), F.element_at(vals, k * k + k + 2).alias("n"))
+
+
+def ar_design(df: DataFrame, keys: Sequence[str] = ("asset",), order: int = AR_ORDER) -> DataFrame:
+    """Regular daily series -> rows (x = [1, d_{t-1}..d_{t-p}], y = d_t)."""
+    from ledgerline.functions.sequence import bounded_window
+    keys = list(keys)
+    reg = regular_calendar(df, keys).withColumnRenamed("day_index", "_pos")
+
+    def build(d, w):
+        d = d.withColumn("_d", F.col("price") - F.lag("price", 1).over(w))
+        return d.withColumns({f"_l{i}": F.lag("_d", i).over(w) for i in range(1, order + 1)})
+    lagged = bounded_window(reg, keys, order + 1, build, pos_col="_pos")
+    rows = lagged.filter(F.col(f"_l{order}").isNotNull())
+    return rows.select(*keys, "date", F.array(F.lit(1.0), *[F.col(f"_l{i}") for i in range(1, order + 1)]).alias("x"),
+                       F.col("_d").alias("y"))
+
+
+def fit_ar(df: DataFrame, keys: Sequence[str] = ("asset",), order: int = AR_ORDER) -> DataFrame:
+    """Conditional least squares AR(order) with intercept on first differences."""
+    k = order + 1
+    g = gram_sums(ar_design(df, keys, order), keys, "x", "y", k)
+    return g.withColumn("coef", _solve_udf(k)(F.col("xtx"), F.col("xty")))
+
+
+def ar_forecast(df: DataFrame, coef: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON,
+                order: int = AR_ORDER) -> DataFrame:
+    """h-step recursion y_{T+h} = y_{T+h-1} + c + sum phi_i d_{T+h-i}, clipped at 0."""
+    keys = list(keys)
+    reg = _last_rows(regular_calendar(df, keys), keys, "day_index", order + 1)
+    last = reg.groupBy(*keys).agg(F.max("date").alias("_t"),
+                                  F.sort_array(F.collect_list(F.struct("day_index", "price"))).alias("_tail"))
+    j = last.join(broadcast_if_small(coef.select(*keys, "coef")), keys)
+    ys = F.transform("_tail", lambda e: e["price"])
+    diffs = F.transform(F.sequence(F.lit(2), F.size(ys)), lambda i: F.element_at(ys, i) - F.element_at(ys, i - 1))
+    init = F.struct(diffs.alias("d"), F.element_at(ys, -1).alias("y"), F.array().cast("array<double>").alias("out"))
+
+    def step(acc, _h):
+        d = acc["d"]
+        nxt = F.element_at(F.col("coef"), 1) + F.aggregate(
+            F.sequence(F.lit(1), F.lit(order)), F.lit(0.0),
+            lambda s, i: s + F.element_at(F.col("coef"), i + 1) * F.element_at(d, -i))
+        y = acc["y"] + nxt
+        return F.struct(F.slice(F.concat(d, F.array(nxt)), -order, order).alias("d"), y.alias("y"),
+                        F.concat(acc["out"], F.array(F.greatest(y, F.lit(0.0)))).alias("out"))
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step)
+    out = j.select(*keys, "_t", F.posexplode(path["out"]).alias("_h", "forecasted_price"))
+    return out.select(*keys, F.date_add("_t", F.col("_h") + 1).alias("date"), "forecasted_price",
+                      (F.col("_h") + 1).alias("step"), F.lit("arima").alias("model_name"))
+
+
+# F8: additive trend + yearly/weekly seasonality per series (re-aim of Prophet)
+def _season_terms(t: Column) -> list[Column]:
+    terms = [F.lit(1.0), t / 365.25]
+    for period, order in ((365.25, YEARLY_ORDER), (7.0, WEEKLY_ORDER)):
+        for k in range(1, order + 1):
+            terms += [F.sin(2 * math.pi * k * t / period), F.cos(2 * math.pi * k * t / period)]
+    return terms
+
+
+def fit_seasonal(df: DataFrame, keys: Sequence[str] = ("asset",), ridge: float = 1e-6) -> DataFrame:
+    keys = list(keys)
+    reg = regular_calendar(df, keys)
+    t = (F.col("day_index") - 1).cast("double")
+    x = reg.select(*keys, F.array(*_season_terms(t)).alias("x"), F.col("price").alias("y"))
+    k = 2 + 2 * (YEARLY_ORDER + WEEKLY_ORDER)
+    g = gram_sums(x, keys, "x", "y", k)
+    g = g.withColumn("coef", _solve_udf(k, ridge)(F.col("xtx"), F.col("xty")))
+    # residual variance from the sums: SSE = y'y - 2 b'X'y + b'X'X b
+    bxy = F.aggregate(F.arrays_zip("coef", "xty"), F.lit(0.0), lambda s, e: s + e["coef"] * e["xty"])
+    quad = F.aggregate(F.sequence(F.lit(0), F.lit(k * k - 1)), F.lit(0.0), lambda s, i: s + F.element_at(
+        F.col("coef"), (i / k).cast("int") + 1) * F.element_at("xtx", i + 1) * F.element_at(F.col("coef"), i % k + 1))
+    sse = F.greatest(F.col("yty") - 2 * bxy + quad, F.lit(0.0))
+    g = g.withColumn("sigma", F.sqrt(sse / F.greatest(F.col("n") - k, F.lit(1.0))))
+    start = reg.groupBy(*keys).agg(F.min("date").alias("_d0"), F.max("date").alias("_d1"))
+    return g.join(start, keys).select(*keys, "coef", "sigma", "_d0", "_d1")
+
+
+def seasonal_forecast(params: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON) -> DataFrame:
+    keys = list(keys)
+    rows = params.select(*keys, "coef", "sigma", "_d0", "_d1",
+                         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    rows = rows.withColumn("date", F.date_add("_d1", F.col("step")))
+    t = F.datediff("date", "_d0").cast("double")
+    x = F.array(*_season_terms(t))
+    yhat = F.aggregate(F.arrays_zip(F.col("coef").alias("c"), x.alias("v")), F.lit(0.0),
+                       lambda s, e: s + e["c"] * e["v"])
+    rows = rows.withColumn("_y", yhat)
+    return rows.select(*keys, "date", clip0(F.col("_y")).alias("forecasted_price"),
+                       clip0(F.col("_y") - INTERVAL_Z * F.col("sigma")).alias("forecast_lower_bound"),
+                       clip0(F.col("_y") + INTERVAL_Z * F.col("sigma")).alias("forecast_upper_bound"),
+                       "step", F.lit("prophet").alias("model_name"))
+
+
+# sequence regressor (re-aim of the LSTM) on min-max scaled 10-day windows
+def fit_sequence_model(df: DataFrame, keys: Sequence[str] = ("asset",), length: int = SEQ_LEN):
+    from ledgerline.functions.sequence import bounded_window
+    keys = list(keys)
+    reg = minmax_scale(regular_calendar(df, keys), keys, "price", "scaled").withColumnRenamed("day_index", "_pos")
+
+    def build(d, w):
+        return d.withColumn("seq", F.collect_list("scaled").over(w.rowsBetween(-length, -1)))
+    rows = bounded_window(reg, keys, length, build, pos_col="_pos").filter(F.size("seq") == length)
+    rows = rows.select(*keys, *[F.col("seq")[i].alias(f"s{i}") for i in range(length)], F.col("scaled").alias("price"))
+    feats = [f"s{i}" for i in range(length)]
+    model = fit_regressor(rows, feats, "linear")
+    return model, reg
+
+
+def sequence_forecast(model, reg: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON,
+                      length: int = SEQ_LEN, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
+    keys = list(keys)
+    tail = _last_rows(reg, keys, "_pos", length)
+    last = tail.groupBy(*keys).agg(F.max("date").alias("last_date"), F.first("scaled_min").alias("lo"),
+                                   F.first("scaled_max").alias("hi"),
+                                   F.sort_array(F.collect_list(F.struct("_pos", "scaled"))).alias("_t"))
+    state = last.select(*keys, "last_date", "lo", "hi", F.transform("_t", lambda e: e["scaled"]).alias("win"))
+    feats = [f"s{i}" for i in range(length)]
+    outputs = []
+    for step in range(1, horizon + 1):
+        x = state.select(*keys, "last_date", "lo", "hi", "win", *[F.col("win")[i].alias(f"s{i}") for i in range(length)])
+        p = model.transform(_assembled(x, feats)).withColumn("date", F.date_add("last_date", 1))
+        p = p.withColumn("forecasted_price", clip0(F.col("prediction") * (F.col("hi") - F.col("lo")) + F.col("lo")))
+        outputs.append(p.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
+        state = p.select(*keys, F.col("date").alias("last_date"), "lo", "hi",
+                         F.slice(F.concat("win", F.array("prediction")), -length, length).alias("win"))
+        if step % checkpoint_every == 0:
+            state = state.checkpoint(eager=True)
+            outputs = [materialize(_union(outputs), f"sequence-steps-{step}")]
+    return _union(outputs).withColumn("model_name", F.lit("lstm"))
+
+
+# F10
+def forecast(df: DataFrame, model_name: str = "all", horizon: int = HORIZON) -> DataFrame:
+    """Forecasts of one model or all of them (union by name); a model that
+    fails is skipped; none left -> error."""
+    names = MODEL_NAMES if model_name == "all" else [model_name]
+    bad = [n for n in names if n not in MODEL_NAMES]
+    if bad:
+        raise ValueError(f"Unknown model(s) {bad}; choose from {MODEL_NAMES + ['all']}")
+    frames = []
+    for n in names:
+        try:
+            frames.append(_forecast_one(df, n, horizon))
+        except Exception:  # noqa: BLE001 - the application skips a failing model
+            if model_name != "all":
+                raise
+    if not frames:
+        raise ValueError("No forecasts could be generated")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
+def _forecast_one(df: DataFrame, name: str, horizon: int) -> DataFrame:
+    if name == "arima":
+        return ar_forecast(df, fit_ar(df), horizon=horizon)
+    if name == "prophet":
+        return seasonal_forecast(fit_seasonal(df), horizon=horizon)
+    if name == "lstm":
+        model, reg = fit_sequence_model(df)
+        return sequence_forecast(model, reg, horizon=horizon)
+    feats_df = materialize(model_features(df), "model-features")
+    feats = feature_columns(feats_df)
+    model = fit_regressor(feats_df, feats, "gbt")
+    return recursive_forecast(df, model, feats, horizon, medians=training_medians(feats_df))
+
+
+# F12
+def series_model_metrics(df: DataFrame, name: str, test_size: float = TEST_SIZE) -> DataFrame:
+    """Per-series split: fit on each series' train part, forecast as many days
+    as its test part spans, evaluate against the test days (daily means)."""
+    from ledgerline.operators.metrics import evaluate
+    sp = series_split(df, test_size=test_size)
+    train, test = sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
+    horizon = HORIZON
+    fc = _forecast_one(train, name, horizon)
+    actual = test.groupBy("asset", "date").agg(F.avg("price").alias("actual_price"))
+    j = actual.join(fc.select("asset", "date", F.col("forecasted_price").alias("predicted_price")),
+                    ["asset", "date"], "inner")
+    return evaluate(j).withColumn("model_name", F.lit(name))

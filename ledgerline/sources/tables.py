@@ -79,10 +79,16 @@ def dirty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(dup)
 
 
+# Event type -> step kind of the run log (fixed, shared with the SQL oracle).
+STEP_KIND = {"signup": "data_pipeline", "error": "model_training", "purchase": "inference",
+             "click": "api_request", "view": "dashboard_load"}
+
+
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
+    kind = F.element_at(F.create_map(*[F.lit(x) for kv in STEP_KIND.items() for x in kv]), F.col("event_type"))
     return e.select(F.col("event_id").alias("run_id"), F.col("ts"),
-                    F.col("event_type").alias("category"),
+                    F.coalesce(kind, F.col("event_type")).alias("category"),
                     F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
                     F.col("value").alias("seconds"))
 
@@ -104,7 +110,8 @@ SQL_VIEWS = {
                     "THEN '-' || CAST(o_totalprice AS VARCHAR) ELSE CAST(o_totalprice AS VARCHAR) END AS \"Price \", "
                     "CAST(o_orderkey AS VARCHAR) AS \"Row ID\" FROM orders) "
                     "SELECT * FROM b UNION ALL SELECT * FROM b WHERE CAST(\"Row ID\" AS BIGINT) % 73 = 0",
-    "run_log": "SELECT event_id AS run_id, ts, event_type AS category, "
+    "run_log": "SELECT event_id AS run_id, ts, coalesce(CASE event_type " + " ".join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in STEP_KIND.items()) + " END, event_type) AS category, "
                "CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, "
                "value AS seconds FROM events",
 }
