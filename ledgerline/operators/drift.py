@@ -14,6 +14,7 @@ from typing import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.broadcast import broadcast_if_small
 from ledgerline.functions.exprs import numeric_columns, string_columns
@@ -140,7 +141,7 @@ def _gammaincc(a: float, x: float) -> float:
     return math.exp(-x + a * math.log(x) - gln) * h
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_p_value(stat: pd.Series, dof: pd.Series) -> pd.Series:
     """Survival function of the chi-square distribution (one row per feature)."""
     return pd.Series([None if (s is None or pd.isna(s) or d is None or pd.isna(d) or d <= 0)
