@@ -117,7 +117,7 @@ CHI = (f", lc AS (SELECT feature, sample, coalesce(value, 'missing') AS value FR
 ORACLE = {
     "x1_psi": SRC + LNUM + PSI + " SELECT feature, round(psi, 6) AS psi FROM psi",
     "x3_ks_test": SRC + LNUM + KS + " SELECT feature, round(ks, 6) AS ks_statistic, round(p, 6) AS ks_p_value, "
-                                    "nr AS n_ref, nc AS n_cur FROM ks",
+                                    "CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur FROM ks",
     "x4_chi_square": SRC + CHI + " SELECT feature, round(chi2, 6) AS chi2_statistic, dof FROM chi",
     "x5_numeric_drift": SRC + LNUM + PSI + KS + STATS + " SELECT feature, 'numerical' AS feature_type, " + NUMSEL +
                         " FROM sref JOIN scur USING (feature) LEFT JOIN psi USING (feature) LEFT JOIN ks USING (feature)",

@@ -41,7 +41,7 @@ def r5_step_alerts(spark, sf):
 
 
 def _rules_sql(rules) -> str:
-    rows = ", ".join(f"('{a}', '{b}', '{c}', {d}, '{e}')" for a, b, c, d, e in rules)
+    rows = ", ".join(f"('{a}', '{b}', '{c}', CAST({d} AS DOUBLE), '{e}')" for a, b, c, d, e in rules)
     return f"rl(rule, metric, op, threshold, severity) AS (VALUES {rows})"
 
 
@@ -78,7 +78,7 @@ ORACLE = {
     "USING (feature)), m AS (SELECT feature AS scope, metric, value FROM d UNPIVOT (value FOR metric IN "
     "(mean_shift_percent, std_shift_percent, missing_shift_percent)))" + EVAL,
     "r5_step_alerts": sql_with("run_log") + ", lim(category, limit_seconds) AS (VALUES " + ", ".join(
-        f"('{k}', {v})" for k, v in R.STEP_LIMIT_SECONDS.items()) + ") SELECT run_id, category, seconds, "
+        f"('{k}', CAST({v} AS DOUBLE))" for k, v in R.STEP_LIMIT_SECONDS.items()) + ") SELECT run_id, category, seconds, "
     "'slow_step' AS alert, limit_seconds FROM run_log JOIN lim USING (category) WHERE seconds > limit_seconds "
     "UNION ALL SELECT run_id, category, seconds, 'failed_step', limit_seconds FROM run_log LEFT JOIN lim "
     "USING (category) WHERE status = 'failed'",
