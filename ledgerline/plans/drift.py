@@ -114,7 +114,16 @@ CHI = (f", lc AS (SELECT feature, sample, coalesce(value, 'missing') AS value FR
        "- 0.5, 0) ELSE abs(e_ref - o_ref) END, 2) / e_ref + pow(CASE WHEN k = 2 THEN greatest(abs(e_cur - o_cur) - 0.5, 0) "
        "ELSE abs(e_cur - o_cur) END, 2) / e_cur) END AS chi2, k - 1 AS dof FROM cells GROUP BY feature, k)")
 
+LNUM7 = ", lg AS (" + _long(["portfolio_value"], "DOUBLE") + "), v AS (SELECT * FROM lg WHERE value IS NOT NULL)"
+MED = (", med AS (SELECT feature, quantile_cont(value, 0.5) FILTER (WHERE sample = 'ref') AS reference_median, "
+       "quantile_cont(value, 0.5) FILTER (WHERE sample = 'cur') AS current_median FROM v GROUP BY feature)")
+
 ORACLE = {
+    "x7_target_drift": SRC + LNUM7 + PSI + KS + STATS + MED + " SELECT feature, 'target' AS feature_type, " + NUMSEL
+                       + ", round(reference_median, 6) AS reference_median, round(current_median, 6) AS current_median, "
+                       "round(CASE WHEN reference_mean <> 0 THEN (current_mean - reference_mean) / reference_mean * 100 "
+                       "END, 6) AS mean_change_percent FROM sref JOIN scur USING (feature) LEFT JOIN psi USING (feature) "
+                       "LEFT JOIN ks USING (feature) LEFT JOIN med USING (feature)",
     "x1_psi": SRC + LNUM + PSI + " SELECT feature, round(psi, 6) AS psi FROM psi",
     "x3_ks_test": SRC + LNUM + KS + " SELECT feature, round(ks, 6) AS ks_statistic, round(p, 6) AS ks_p_value, "
                                     "CAST(nr AS BIGINT) AS n_ref, CAST(nc AS BIGINT) AS n_cur FROM ks",
