@@ -26,9 +26,13 @@ def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) ->
     are built from the data they are joined back to, and without the cut
     every use would carry (and re-plan) the whole upstream plan again."""
     checkpoint_dir(small.sparkSession)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK).checkpoint(eager=True)
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
     n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    if n <= max_rows:
+        # a checked-small table: one partition is enough (later scans of it
+        # run one task instead of one per shuffle partition)
+        return F.broadcast(small.coalesce(1).checkpoint(eager=True))
+    return small.checkpoint(eager=True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -45,8 +45,10 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    pos_col: str = POS, num_partitions: int | None = None) -> DataFrame:
     """Add ``pos_col``: 1-based row position within ``keys`` ordered by ``order``."""
     keys, order = list(keys), list(order)
-    n = num_partitions or _num_partitions(df)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
+    cols = [F.col(c) for c in keys + order]
+    # without an explicit count AQE may coalesce small range partitions
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols))
+    ranged = (ranged
                 .sortWithinPartitions(*keys, *order)
                 .withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_part", F.shiftright(F.col("_mid"), 33)))
@@ -159,9 +161,9 @@ def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight
     sums inside each (key, partition), and a small per-(key, partition)
     total table carried forward. ``order`` must be unique within a key."""
     keys, order, weights = list(keys), list(order), list(weights)
-    n = num_partitions or _num_partitions(df)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in keys + order])
-                .withColumn("_part", F.spark_partition_id())
+    cols = [F.col(c) for c in keys + order]
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols))
+    ranged = (ranged.withColumn("_part", F.spark_partition_id())
                 .persist(StorageLevel.MEMORY_AND_DISK))  # both uses see one partitioning
     w_local = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumns({f"_cum_{c}": F.sum(c).over(w_local) for c in weights})

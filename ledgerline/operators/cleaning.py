@@ -305,16 +305,18 @@ def normalize_predictions(df: DataFrame, model_name: str | None = None) -> DataF
 
 # C21
 def fill_feature_nulls(df: DataFrame, columns: Sequence[str] | None = None,
-                       exclude: Sequence[str] = ()) -> DataFrame:
-    """+-inf -> null -> whole-table column median -> 0."""
+                       exclude: Sequence[str] = (), return_fills: bool = False):
+    """+-inf -> null -> whole-table column median -> 0. ``return_fills``:
+    also return the one-row table of medians (``_fill_<c>``)."""
     cols = list(columns) if columns is not None else numeric_columns(df, exclude)
     if not cols:
-        return df
+        return (df, None) if return_fills else df
     # medians need two passes over the features and the fill a third:
     # materialize the feature table once instead of recomputing its windows
     df = df.withColumns({c: finite(F.col(c)) for c in cols}).persist(StorageLevel.MEMORY_AND_DISK)
-    df = _one_row_fill(df, column_medians(df, cols), cols)
-    return df.fillna(0, subset=cols)
+    fills = column_medians(df, cols)
+    out = _one_row_fill(df, fills, cols).fillna(0, subset=cols)
+    return (out, fills) if return_fills else out
 
 
 # C22

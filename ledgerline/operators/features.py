@@ -305,13 +305,14 @@ def portfolio_features(df: DataFrame, group: str = "portfolio_id", target: str =
 
 # W21 (b): boosted-model features
 def model_features(df: DataFrame, keys: Sequence[str] = ("asset",), target: str = "price",
-                   one_hot_assets: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                   one_hot_assets: bool = True, block_rows: int = DEFAULT_BLOCK_ROWS,
+                   return_fills: bool = False):
     out = calendar_features(df, quarter_flags=True)
     out = series_features(out, keys, ("date", "row_id"), target, lags=MODEL_LAGS, windows=WINDOWS,
                           volatility=True, block_rows=block_rows)
     if one_hot_assets:
         out = one_hot(out, keys[0], drop_first=False, prefix="asset")
-    return fill_feature_nulls(out, nullable_columns(target, MODEL_LAGS, WINDOWS, True))
+    return fill_feature_nulls(out, nullable_columns(target, MODEL_LAGS, WINDOWS, True), return_fills=return_fills)
 
 
 # W21 (c): anomaly features

@@ -214,10 +214,12 @@ def recursive_forecast(history: DataFrame, model, features: Sequence[str], horiz
     assets = [c[len("asset_"):] for c in features if c.startswith("asset_")]
     if medians is None:
         medians = history.sparkSession.createDataFrame([(0.0,)], "_fill_none double")
+    medians = broadcast_if_small(medians)  # one row, computed once for all steps
     outputs = []
     for step in range(1, horizon + 1):
         feats = _step_features(state, features, medians, assets)
-        pred = predict(model, feats, features, "forecasted_price")
+        # one tiny row per series: keep it, both the output and the next state read it
+        pred = predict(model, feats, features, "forecasted_price").persist()
         outputs.append(pred.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
         state = pred.select(*keys, F.col("date").alias("last_date"),
                             F.slice(F.concat("hist", F.array("forecasted_price")), -keep, keep).alias("hist"),
@@ -236,17 +238,6 @@ def _union(frames):
     return out
 
 
-def training_medians(feature_table: DataFrame) -> DataFrame:
-    """One row of fill values (``_fill_<c>``) for features that are missing
-    at a series' start: the whole-table medians of the unfilled features,
-    the same values the feature table was filled with."""
-    from ledgerline.operators.cleaning import column_medians
-    from ledgerline.operators.features import nullable_columns
-    raw = series_features(feature_table.select("date", "asset", "price", "row_id"), ("asset",),
-                          ("date", "row_id"), lags=MODEL_LAGS, windows=WINDOWS, volatility=True)
-    return column_medians(raw, nullable_columns("price", MODEL_LAGS, WINDOWS, True))
-
-
 def _last_rows(df: DataFrame, keys: Sequence[str], pos: str, n: int) -> DataFrame:
     """The last ``n`` rows of each series by ``pos`` (a bounded tail; the
     series itself is never gathered)."""
@@ -407,6 +398,7 @@ def sequence_forecast(model, reg: DataFrame, keys: Sequence[str] = ("asset",), h
         x = state.select(*keys, "last_date", "lo", "hi", "win", *[F.col("win")[i].alias(f"s{i}") for i in range(length)])
         p = model.transform(_assembled(x, feats)).withColumn("date", F.date_add("last_date", 1))
         p = p.withColumn("forecasted_price", clip0(F.col("prediction") * (F.col("hi") - F.col("lo")) + F.col("lo")))
+        p = p.drop("features").persist()  # tiny; read by the output and the next state
         outputs.append(p.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
         state = p.select(*keys, F.col("date").alias("last_date"), "lo", "hi",
                          F.slice(F.concat("win", F.array("prediction")), -length, length).alias("win"))
@@ -447,10 +439,12 @@ def _forecast_one(df: DataFrame, name: str, horizon: int) -> DataFrame:
     if name == "lstm":
         model, reg = fit_sequence_model(df)
         return sequence_forecast(model, reg, horizon=horizon)
-    feats_df = materialize(model_features(df), "model-features")
+    feats_df, fills = model_features(df, return_fills=True)
+    fills = broadcast_if_small(fills)  # the medians the training rows were filled with
+    feats_df = materialize(feats_df, "model-features")
     feats = feature_columns(feats_df)
     model = fit_regressor(feats_df, feats, "gbt")
-    return recursive_forecast(df, model, feats, horizon, medians=training_medians(feats_df))
+    return recursive_forecast(df, model, feats, horizon, medians=fills)
 
 
 # F12
