@@ -78,7 +78,7 @@ SEQ_LEN = 10
 AR_ORDER = 5
 YEARLY_ORDER, WEEKLY_ORDER = 10, 3
 INTERVAL_Z = 1.2815515655446004  # two-sided 80% normal interval
-CHECKPOINT_EVERY = 5
+CHECKPOINT_EVERY = 1  # state is one row per series: cut lineage every step
 MODEL_NAMES = ["xgboost", "arima", "prophet", "lstm"]
 NON_FEATURES = {"date", "asset", "price", "row_id", "split"}
 
@@ -138,47 +138,43 @@ def feature_importance(model, features: Sequence[str], spark, top_n: int | None
 
 
 # recursive multi-step forecast with the boosted model
-def _window_stats(seq: Column, n: int):
-    """Mean and sample std of the last n values of an array (fewer when short)."""
-    tail = F.slice(seq, -n, n) if n else seq
-    tail = F.when(F.size(seq) < n, seq).otherwise(tail)
-    cnt = F.size(tail).cast("double")
-    s = F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
-    mean = s / cnt
-    ss = F.aggregate(tail, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
-    std = F.when(cnt > 1, F.sqrt(ss / (cnt - 1)))
-    return mean, std
-
-
-def _step_features(state: DataFrame, features: Sequence[str], medians: DataFrame, assets: Sequence[str]) -> DataFrame:
+def _step_features(state: DataFrame, features: Sequence[str], medians: DataFrame, assets: Sequence[str],
+                   keys: Sequence[str] = ("asset",)) -> DataFrame:
     """Feature row of the next day for every series: the new row carries the
     last price as a placeholder (as the application does), lags look back
-    from it, rolling frames include it."""
-    nd = F.date_add(F.col("last_date"), 1)
+    from it, rolling frames include it. The <= 33 window values of a series
+    are exploded to rows and reduced with plain conditional aggregates (a
+    tiny groupBy per step instead of nested array lambdas)."""
+    keys = list(keys)
     seq = F.concat(F.col("hist"), F.array(F.element_at("hist", -1)))
-    size = F.size(seq)
-    cols = {"date": nd, "price": F.element_at(seq, -1)}
-    rets = F.transform(F.sequence(F.lit(2), size), lambda i: F.coalesce(
-        finite_div(F.element_at(seq, i), F.element_at(seq, i - 1)) - 1, F.lit(0.0)))
-    rets = F.when(F.col("complete"), F.concat(F.array(F.lit(0.0)), rets)).otherwise(rets)
-    cols["daily_return"] = F.element_at(rets, -1)
-    for k in MODEL_LAGS:
-        cols[f"price_lag_{k}"] = F.when(size > k, F.element_at(seq, -(k + 1)))
-    for n in WINDOWS:
-        m, s = _window_stats(seq, n)
-        cols[f"price_rolling_mean_{n}"], cols[f"price_rolling_std_{n}"] = m, s
-        cols[f"return_rolling_volatility_{n}"] = _window_stats(rets, n)[1]
-    d = nd
+    prev = F.concat(F.array(F.lit(None).cast("double")), F.col("hist"))
+    base = state.select(*keys, "last_date", "hist", "complete", F.size(seq).alias("_n"),
+                        F.posexplode(F.arrays_zip(seq.alias("v"), prev.alias("p"))).alias("_i", "_z"))
+    v, i, n = F.col("_z.v"), F.col("_i"), F.col("_n")
+    ret = F.when(i == 0, F.when(F.col("complete"), F.lit(0.0))) \
+           .otherwise(F.coalesce(finite_div(v, F.col("_z.p")) - 1, F.lit(0.0)))
+    base = base.withColumns({"_v": v, "_r": ret})
+    aggs = [F.first("hist").alias("hist"), F.first("complete").alias("complete"),
+            F.max(F.when(i == n - 1, F.col("_v"))).alias("price"),
+            F.max(F.when(i == n - 1, F.col("_r"))).alias("daily_return")]
+    aggs += [F.max(F.when((i == n - 1 - k) & (n > k), F.col("_v"))).alias(f"price_lag_{k}") for k in MODEL_LAGS]
+    for w in WINDOWS:
+        inside = i >= n - w
+        aggs += [F.avg(F.when(inside, F.col("_v"))).alias(f"price_rolling_mean_{w}"),
+                 F.stddev_samp(F.when(inside, F.col("_v"))).alias(f"price_rolling_std_{w}"),
+                 F.stddev_samp(F.when(inside, F.col("_r"))).alias(f"return_rolling_volatility_{w}")]
+    out = base.groupBy(*keys, "last_date").agg(*aggs)
+    d = F.date_add(F.col("last_date"), 1)
     qs = F.trunc(d, "quarter")
-    cols.update({"year": F.year(d), "month": F.month(d), "quarter": F.quarter(d), "day": F.dayofmonth(d),
-                 "day_of_week": F.weekday(d), "week_of_year": F.weekofyear(d),
-                 "is_month_start": (F.dayofmonth(d) == 1).cast("int"),
-                 "is_month_end": (d == F.last_day(d)).cast("int"),
-                 "is_quarter_start": (d == qs).cast("int"),
-                 "is_quarter_end": (d == F.date_sub(F.add_months(qs, 3), 1)).cast("int")})
+    cols = {"date": d, "year": F.year(d), "month": F.month(d), "quarter": F.quarter(d), "day": F.dayofmonth(d),
+            "day_of_week": F.weekday(d), "week_of_year": F.weekofyear(d),
+            "is_month_start": (F.dayofmonth(d) == 1).cast("int"),
+            "is_month_end": (d == F.last_day(d)).cast("int"),
+            "is_quarter_start": (d == qs).cast("int"),
+            "is_quarter_end": (d == F.date_sub(F.add_months(qs, 3), 1)).cast("int")}
     for a in assets:
-        cols[f"asset_{a}"] = (F.col("asset") == F.lit(a)).cast("int")
-    out = state.withColumns(cols).crossJoin(F.broadcast(medians))  # one row
+        cols[f"asset_{a}"] = (F.col(keys[0]) == F.lit(a)).cast("int")
+    out = out.withColumns(cols).crossJoin(F.broadcast(medians))  # one row
     fill = {c: F.coalesce(F.col(c), F.col(f"_fill_{c}"), F.lit(0.0))
             for c in features if f"_fill_{c}" in medians.columns}
     return out.withColumns(fill).drop(*medians.columns)
@@ -195,8 +191,9 @@ def recursive_forecast(history: DataFrame, model, features: Sequence[str], horiz
     """Every series advances one day per step, all series together. State per
     series: last date and the last 32 prices (enough for lag 14, 30-row
     frames and the returns inside them); O(h) per series instead of
-    re-engineering the whole history each step. Lineage is cut every
-    ``checkpoint_every`` steps."""
+    re-engineering the whole history each step. Each step's rows are
+    checkpointed (every ``checkpoint_every`` steps; default every step), so
+    plans stay small and a lost executor never replays earlier steps."""
     keys = list(keys)
     keep = max(max(WINDOWS) + 2, max(MODEL_LAGS) + 2)
     w = F.struct("date", "row_id")
@@ -217,17 +214,19 @@ def recursive_forecast(history: DataFrame, model, features: Sequence[str], horiz
     medians = broadcast_if_small(medians)  # one row, computed once for all steps
     outputs = []
     for step in range(1, horizon + 1):
-        feats = _step_features(state, features, medians, assets)
-        # one tiny row per series: keep it, both the output and the next state read it
-        pred = predict(model, feats, features, "forecasted_price").persist()
+        feats = _step_features(state, features, medians, assets, keys)
+        pred = predict(model, feats, features, "forecasted_price").select(
+            *keys, "date", "forecasted_price",
+            F.slice(F.concat("hist", F.array("forecasted_price")), -keep, keep).alias("hist"),
+            F.when(F.size("hist") + 1 > keep, F.lit(False)).otherwise(F.col("complete")).alias("complete"))
+        # one row per series: a reliable checkpoint per step keeps every step's
+        # plan constant-size (the output and the next state both read it)
+        if step % checkpoint_every == 0 or checkpoint_every <= 1:
+            pred = pred.checkpoint(eager=True)
+        else:
+            pred = pred.persist()
         outputs.append(pred.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
-        state = pred.select(*keys, F.col("date").alias("last_date"),
-                            F.slice(F.concat("hist", F.array("forecasted_price")), -keep, keep).alias("hist"),
-                            F.when(F.size("hist") + 1 > keep, F.lit(False)).otherwise(F.col("complete"))
-                            .alias("complete"))
-        if step % checkpoint_every == 0:
-            state = state.checkpoint(eager=True)
-            outputs = [materialize(_union(outputs), f"forecast-steps-{step}")]
+        state = pred.select(*keys, F.col("date").alias("last_date"), "hist", "complete")
     return _union(outputs).withColumn("model_name", F.lit(model_name))
 
 
@@ -398,13 +397,11 @@ def sequence_forecast(model, reg: DataFrame, keys: Sequence[str] = ("asset",), h
         x = state.select(*keys, "last_date", "lo", "hi", "win", *[F.col("win")[i].alias(f"s{i}") for i in range(length)])
         p = model.transform(_assembled(x, feats)).withColumn("date", F.date_add("last_date", 1))
         p = p.withColumn("forecasted_price", clip0(F.col("prediction") * (F.col("hi") - F.col("lo")) + F.col("lo")))
-        p = p.drop("features").persist()  # tiny; read by the output and the next state
+        p = p.select(*keys, "date", "forecasted_price", "lo", "hi",
+                     F.slice(F.concat("win", F.array("prediction")), -length, length).alias("win"))
+        p = p.checkpoint(eager=True) if (step % checkpoint_every == 0 or checkpoint_every <= 1) else p.persist()
         outputs.append(p.select(*keys, "date", "forecasted_price", F.lit(step).alias("step")))
-        state = p.select(*keys, F.col("date").alias("last_date"), "lo", "hi",
-                         F.slice(F.concat("win", F.array("prediction")), -length, length).alias("win"))
-        if step % checkpoint_every == 0:
-            state = state.checkpoint(eager=True)
-            outputs = [materialize(_union(outputs), f"sequence-steps-{step}")]
+        state = p.select(*keys, F.col("date").alias("last_date"), "lo", "hi", "win")
     return _union(outputs).withColumn("model_name", F.lit("lstm"))
 
 
