@@ -153,3 +153,19 @@ QUERIES = {
     "a21_severity_distribution": a21_severity_distribution,
     "a23_top_anomalies": a23_top_anomalies,
 }
+
+
+def io7_summary_sink(spark, sf):
+    """The anomaly summary (one aggregated row) written as one JSON file and read back."""
+    import uuid
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import files as IO
+    path = scratch_path(spark, f"summary-{uuid.uuid4().hex}")
+    summary = A.anomaly_summary(ticks_flags(spark, sf))
+    IO.write_summary(summary, path, "json")
+    return spark.read.schema(summary.schema).json(path)
+
+
+ORACLE["io7_summary_sink"] = ORACLE["a19_anomaly_summary"]
+QUERIES["io7_summary_sink"] = io7_summary_sink

@@ -132,3 +132,25 @@ QUERIES = {
     "m10_best_model": m10_best_model,
     "m11_combined_evaluation": m11_combined_evaluation,
 }
+
+
+def io3_metrics_json_scan(spark, sf):
+    """Averaged model metrics written as JSON, scanned back as the long table."""
+    import uuid
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import files as IO
+    avg = _averaged(spark, sf)
+    long = avg.unpivot(["model_name"], list(M.METRICS), "metric", "value") \
+              .withColumn("asset", F.lit(M.ALL)).select("model_name", "asset", "metric", "value")
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    long.write.mode("overwrite").json(path)
+    status, df = IO.load_metrics(spark, path)
+    missing_status, _ = IO.load_metrics(spark, path + "-missing")
+    return df.withColumn("status", F.lit(status)).withColumn("missing_status", F.lit(missing_status))
+
+
+ORACLE["io3_metrics_json_scan"] = (BT + EV + AV + " SELECT model_name, '__all__' AS asset, metric, value, "
+                                   "'available' AS status, 'missing' AS missing_status FROM av UNPIVOT "
+                                   "(value FOR metric IN (" + ", ".join(M.METRICS) + "))")
+QUERIES["io3_metrics_json_scan"] = io3_metrics_json_scan

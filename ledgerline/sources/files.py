@@ -71,14 +71,15 @@ METRICS_SCHEMA = T.StructType([T.StructField("model_name", T.StringType()),
                                T.StructField("value", T.DoubleType())])
 
 
-def load_metrics(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
-    """Metrics kept as a long table (model_name, asset, metric, value).
+def load_metrics(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[str, DataFrame]:
+    """Metrics kept as a long table (model_name, asset, metric, value), from
+    JSON lines (``multi_line=True``: one JSON document per file).
     Missing or unreadable -> ('missing'|'invalid', empty table)."""
     empty = spark.createDataFrame([], METRICS_SCHEMA)
     if not _exists(spark, path):
         return "missing", empty
     try:
-        df = spark.read.schema(METRICS_SCHEMA).option("multiLine", True).json(path)
+        df = spark.read.schema(METRICS_SCHEMA).option("multiLine", multi_line).json(path)
         return "available", df
     except Exception:  # noqa: BLE001 - unreadable file is a status, not an error
         return "invalid", empty
