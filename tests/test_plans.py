@@ -37,3 +37,22 @@ def test_scan_reads_only_needed_columns(spark, sf_small):
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
     assert m and "o_custkey" not in m.group(1) and "o_orderstatus" not in m.group(1)
     assert text
+
+
+def test_broadcast_only_within_size_check(spark):
+    """With Spark's own size-based broadcast off, only the checked hint can
+    broadcast: within the limit it does, beyond it the join stays a shuffle join."""
+    from ledgerline.functions.broadcast import broadcast_if_small
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    params = spark.range(0, 50).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        small_plan = _plan(big.join(broadcast_if_small(params, max_rows=100), "k"))
+        over_plan = _plan(big.join(broadcast_if_small(params, max_rows=10), "k"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in small_plan
+    assert "BroadcastHashJoin" not in over_plan and "SortMergeJoin" in over_plan
