@@ -193,15 +193,22 @@ def records_per_asset(df: DataFrame, asset: str = "asset") -> DataFrame:
 
 
 # A18
-def forecast_summary(df: DataFrame, value: str = "forecasted_price") -> DataFrame:
-    """Rows, models, assets, date range and forecast stats; zeros when empty."""
-    return df.agg(F.count(F.lit(1)).alias("forecast_rows"),
-                  F.count_distinct("model_name").alias("model_count"),
-                  F.count_distinct("asset").alias("asset_count"),
-                  F.min("date").alias("start_date"), F.max("date").alias("end_date"),
-                  F.round(F.coalesce(F.avg(value), F.lit(0.0)), 4).alias("average_forecast"),
-                  F.round(F.coalesce(F.min(value), F.lit(0.0)), 4).alias("min_forecast"),
-                  F.round(F.coalesce(F.max(value), F.lit(0.0)), 4).alias("max_forecast"))
+def forecast_summary(df: DataFrame, value: str | None = None) -> DataFrame:
+    """Rows, models and assets used (sorted distinct lists - bounded by the
+    number of models/assets), date range and forecast stats rounded to 4;
+    the value column is ``forecasted_price`` or else ``predicted_price``;
+    an empty input gives zeros and empty lists."""
+    value = value or ("forecasted_price" if "forecasted_price" in df.columns else "predicted_price")
+    models = df.select("model_name").distinct().agg(F.sort_array(F.collect_list("model_name")).alias("models_used"))
+    assets = df.select("asset").distinct().agg(F.sort_array(F.collect_list("asset")).alias("assets_forecasted"))
+    stats = df.agg(F.count(F.lit(1)).alias("forecast_rows"),
+                   F.count_distinct("model_name").alias("model_count"),
+                   F.count_distinct("asset").alias("asset_count"),
+                   F.min("date").alias("start_date"), F.max("date").alias("end_date"),
+                   F.round(F.coalesce(F.avg(value), F.lit(0.0)), 4).alias("average_forecast"),
+                   F.round(F.coalesce(F.min(value), F.lit(0.0)), 4).alias("min_forecast"),
+                   F.round(F.coalesce(F.max(value), F.lit(0.0)), 4).alias("max_forecast"))
+    return stats.crossJoin(models).crossJoin(assets)
 
 
 # A24

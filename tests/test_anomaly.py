@@ -66,3 +66,15 @@ def test_forest_rate_near_contamination(spark):
     a = {r.row_id: r.anomaly_score for r in out.select("row_id", "anomaly_score").collect()}
     b = {r.row_id: r.anomaly_score for r in again.select("row_id", "anomaly_score").collect()}
     assert a == b  # deterministic for a seed
+
+
+def test_fx9_anomaly_output_summary(spark):
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), "Stock A", 100 + i, i == 2) for i in range(5)]
+    fx9 = spark.createDataFrame(rows, "date date, asset string, price long, is_anomaly_iqr boolean")
+    flags = A.combine_flags(fx9)
+    s = A.anomaly_summary(flags).first()
+    assert (s.total_records, s.total_anomalies, s.anomaly_rate_percent) == (5, 1, 20.0)
+    empty = A.anomaly_summary(flags.limit(0)).first()
+    assert (empty.total_records, empty.total_anomalies, empty.anomaly_rate_percent) == (0, 0, 0.0)
+    per = A.asset_anomaly_summary(flags).first()
+    assert (per.anomaly_count, per.iqr_anomaly_count, per.anomaly_rate_percent) == (1, 1, 20.0)

@@ -76,3 +76,15 @@ def test_stream_scoring_equals_batch(spark):
     streamed = spark.read.parquet(sink).select("row_id", "is_anomaly").orderBy("row_id").collect()
     batch = ST.score_stream(df, params).select("row_id", "is_anomaly").orderBy("row_id").collect()
     assert [tuple(r) for r in streamed] == [tuple(r) for r in batch]
+
+
+def test_fx7_forecast_summary(spark):
+    from ledgerline.operators.profile import forecast_summary
+    rows = [(dt.date(2024, 1, 16) + dt.timedelta(days=i), "Stock A", 115 + i, "XGBoost") for i in range(5)]
+    fx7 = spark.createDataFrame(rows, "date date, asset string, forecasted_price long, model_name string")
+    s = forecast_summary(fx7).first()
+    assert (s.forecast_rows, s.average_forecast, s.models_used, s.assets_forecasted) == (5, 117.0, ["XGBoost"], ["Stock A"])
+    alias = forecast_summary(fx7.withColumnRenamed("forecasted_price", "predicted_price")).first()
+    assert alias.average_forecast == 117.0
+    empty = forecast_summary(fx7.limit(0)).first()
+    assert (empty.forecast_rows, empty.average_forecast, empty.models_used) == (0, 0.0, [])
