@@ -103,8 +103,12 @@ def fit_regressor(train: DataFrame, features: Sequence[str], kind: str = "gbt",
         est = LinearRegression(featuresCol="features", labelCol="price", regParam=0.0,
                                **({"solver": "normal"} | params))
     elif kind == "forest":
+        # model settings of the application (300 trees, unlimited depth -> Spark's
+        # cap of 30); maxMemoryInMB/cacheNodeIds only change how many nodes one
+        # pass over the data splits and how node ids travel, not the model
         est = RandomForestRegressor(featuresCol="features", labelCol="price", seed=seed,
-                                    **({"numTrees": 300, "maxDepth": 30} | params))
+                                    **({"numTrees": 300, "maxDepth": 30, "maxMemoryInMB": 1024,
+                                        "cacheNodeIds": True} | params))
     else:
         est = GBTRegressor(featuresCol="features", labelCol="price", seed=seed,
                            **({"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.9,
