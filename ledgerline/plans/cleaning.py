@@ -240,6 +240,8 @@ ORACLE = {
                          "FROM orders",
     "io4_records_to_frame": sql_with("prices") + " SELECT date, asset, price FROM prices WHERE price >= 0",
     "io5_parquet_roundtrip": sql_with("prices") + " SELECT * FROM prices",
+    "io6_json_records": sql_with("ticks") + " SELECT CAST(json_object('date', strftime(date, '%Y-%m-%dT%H:%M:%S'), "
+                        "'asset', asset, 'price', round(price, 2), 'row_id', row_id) AS VARCHAR) AS record FROM ticks",
     "io8_ragged_union": sql_with("prices", "holdings") + " SELECT date, asset, price, NULL::VARCHAR AS portfolio_id, "
                         "NULL::VARCHAR AS asset_name, NULL::DOUBLE AS quantity FROM prices UNION ALL "
                         "SELECT date, NULL, round(price, 6), portfolio_id, asset_name, quantity FROM holdings",
