@@ -78,3 +78,15 @@ def test_fx9_anomaly_output_summary(spark):
     assert (empty.total_records, empty.total_anomalies, empty.anomaly_rate_percent) == (0, 0, 0.0)
     per = A.asset_anomaly_summary(flags).first()
     assert (per.anomaly_count, per.iqr_anomaly_count, per.anomaly_rate_percent) == (1, 1, 20.0)
+
+
+def test_frozen_scoring_unknown_asset_is_normal(spark):
+    from ledgerline.operators.features import series_parameters
+    train = fx8(spark)
+    params = series_parameters(train, ["asset"], "price")
+    state = {"fences": params.drop("_mean", "_std"), "moments": params.select("asset", "_mean", "_std")}
+    new = spark.createDataFrame([("2024-02-01", "Stock A", 900.0, 1), ("2024-02-01", "Other", 900.0, 2)],
+                                "date string, asset string, price double, row_id long")
+    out = {r.asset: r for r in A.score_new_data(new, state, mode="frozen").collect()}
+    assert out["Stock A"].is_anomaly_iqr and out["Stock A"].anomaly_severity in ("low", "medium")
+    assert not out["Other"].is_anomaly and out["Other"].price_z_score == 0.0

@@ -85,3 +85,16 @@ def test_chi_square_yates(spark):
     p = X.categorical_drift(ref, cur, ["c"]).first()
     assert 0 <= p.chi2_p_value < 0.05 and p.drift_detected
     assert F is not None
+
+
+def test_drift_report_summary(spark):
+    rng = np.random.default_rng(9)
+    ref = spark.createDataFrame([(float(v), "a" if v > 0 else "b", float(v) * 2) for v in rng.normal(0, 1, 300)],
+                                "x double, c string, portfolio_value double")
+    cur = spark.createDataFrame([(float(v), "a", float(v) * 2) for v in rng.normal(2, 1, 200)],
+                                "x double, c string, portfolio_value double")
+    rep = X.drift_report(ref, cur, ["x"], ["c"])
+    s = rep["summary"].first()
+    assert s.reference_rows == 300 and s.current_rows == 200
+    assert s.total_features_checked == 3 and s.drift_detected
+    assert "x" in s.drifted_features and "portfolio_value" in s.drifted_features
