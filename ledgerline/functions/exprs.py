@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -93,7 +92,3 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 def r(c: Column | str, digits: int = 6) -> Column:
     """SQL rounding (half-up) used on both sides of every float comparison."""
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
-
-
-def clean_ident(s: str) -> str:
-    return re.sub(r"[^0-9a-zA-Z_]", "_", s)

@@ -237,9 +237,6 @@ def minmax_scale(df: DataFrame, keys: Sequence[str] = ("asset",), value: str = "
             .withColumnsRenamed({"_min": f"{out}_min", "_max": f"{out}_max"})
 
 
-def minmax_inverse(c, lo, hi):
-    return c * (hi - lo) + lo
-
 
 # W18
 def standard_scale(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
