@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.functions.exprs import numeric_columns
+from ledgerline.functions.exprs import is_numeric_type, numeric_columns, to_number
 from ledgerline.functions.quantiles import column_quantiles, group_quantiles
 
 HIST_BINS = 30
@@ -77,15 +77,18 @@ def data_quality_report(df: DataFrame, asset: str = "asset", value: str = "price
                         multiplier: float = 1.5) -> DataFrame:
     """One row: size, missing cells, negatives, duplicates, distinct assets
     and dates, and global IQR outliers of ``value``."""
-    q = group_quantiles(df, [], value, [0.25, 0.75], ["_q1", "_q3"])
+    price = to_number(F.col(value), is_numeric_type(df, value))  # text prices are coerced, not cast
+    df_num = df.withColumn("_price", price)
+    q = group_quantiles(df_num, [], "_price", [0.25, 0.75], ["_q1", "_q3"])
     fences = q.select((F.col("_q1") - multiplier * (F.col("_q3") - F.col("_q1"))).alias("_lo"),
                       (F.col("_q3") + multiplier * (F.col("_q3") - F.col("_q1"))).alias("_hi"))
-    j = df.crossJoin(F.broadcast(fences))  # one row
+    j = df_num.crossJoin(F.broadcast(fences))  # one row
     missing = sum(F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns)
+    p = F.col("_price")
     main = j.agg(F.count(F.lit(1)).alias("total_rows"), F.lit(len(df.columns)).alias("total_columns"),
-                 missing.alias("missing_cells"), F.count_if(F.col(value) < 0).alias("negative_prices"),
+                 missing.alias("missing_cells"), F.count_if(p < 0).alias("negative_prices"),
                  F.count_distinct(asset).alias("unique_assets"), F.count_distinct(date).alias("unique_dates"),
-                 F.count_if((F.col(value) < F.col("_lo")) | (F.col(value) > F.col("_hi"))).alias("iqr_outliers"))
+                 F.count_if((p < F.col("_lo")) | (p > F.col("_hi"))).alias("iqr_outliers"))
     return main.crossJoin(duplicate_summary(df).select("duplicate_rows"))
 
 

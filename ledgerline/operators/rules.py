@@ -13,6 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.functions.exprs import is_numeric_type, to_number
 from ledgerline.operators.profile import missing_summary
 
 # Fixed values of the application: alert thresholds
@@ -72,7 +73,8 @@ def data_quality_metrics(df: DataFrame, asset: str = "asset", value: str = "pric
     miss = missing_summary(df).select(F.col("column").alias("scope"), F.lit("missing_percent").alias("metric"),
                                       F.col("missing_percent").cast("double").alias("value"))
     dup = df.agg(F.count(F.lit(1)).alias("_n")).crossJoin(df.distinct().agg(F.count(F.lit(1)).alias("_d")))
-    ds = df.agg(F.count_if(F.col(value) < 0).cast("double").alias("negative_price_count"),
+    price = to_number(F.col(value), is_numeric_type(df, value))  # text prices are coerced, not cast
+    ds = df.agg(F.count_if(price < 0).cast("double").alias("negative_price_count"),
                 F.count(F.lit(1)).cast("double").alias("record_count"),
                 F.count_distinct(asset).cast("double").alias("asset_count")).crossJoin(
         dup.select(F.coalesce(F.try_divide((F.col("_n") - F.col("_d")) * 100.0, F.col("_n")), F.lit(0.0))
