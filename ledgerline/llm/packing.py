@@ -31,6 +31,7 @@ from ledgerline.llm.common import batch_of, ddl, give_back_ids, hex_digits, id_a
 SEQ_TOKENS = 4096
 END_ID = 1
 CACHED_WORDS = 300_000
+CACHED_UNITS = 500_000
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("ids", pa.binary())])
@@ -46,8 +47,10 @@ class WordIds:
     """Token ids of texts as little-endian uint32 bytes.
 
     No token crosses a space or a line feed, so the ids of a text are those of
-    the stretches between them; those of recent stretches are remembered in
-    two generations of bounded size."""
+    the stretches between them. A stretch of letters, or of letters and then
+    punctuation, is one or two units to the tokenizer, which lower-cases; such units are
+    encoded many at a time and told apart by the tokens that end a word. Stretches
+    and units are remembered in two generations of bounded size."""
 
     def __init__(self, path: str):
         import os
@@ -56,27 +59,62 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.young, self.old = {}, {}
-
-    def learn(self, words: list[str]) -> None:
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        for token, i in self.tok.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.young, self.old, self.units, self.old_units = {}, {}, {}, {}
+
+    @staticmethod
+    def parts(word: str) -> tuple[str, str] | None:
+        """A stretch as (letters, punctuation), lower-cased, where that is all it holds and no
+        character of it is special to the tokenizer's rules."""
+        low = word.lower()
+        core = low.rstrip(".,;:!?%&*$#)|")
+        return (core, low[len(core):]) if core.isalpha() and max(core) < "\u0130" else None
+
+    def learn_units(self, units: set[str]) -> None:
         todo = []
+        for u in units:
+            if (got := self.old_units.get(u)) is not None:
+                self.units[u] = got
+            elif u not in self.units:
+                todo.append(u)
+        for at in range(0, len(todo), 5000):
+            own = todo[at:at + 5000]
+            ids = np.array(self.tok.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(cut) != len(own):
+                raise ValueError("the tokenizer does not end units as expected")
+            raw = ids.tobytes()
+            self.units.update(zip(own, (raw[x:y] for x, y in zip([0, *cut[:-1].tolist()], cut.tolist()))))
+
+    def learn(self, words: set[str]) -> None:
+        split, whole, units = [], [], set()
         for w in words:
             if (got := self.old.get(w)) is not None:
                 self.young[w] = got
+            elif two := self.parts(w):
+                split.append((w, two))
+                units.update(two)
             else:
-                todo.append(w)
-        for w, e in zip(todo, self.tok.encode_batch(todo, add_special_tokens=False)):
+                whole.append(w)
+        units.discard("")
+        self.learn_units(units)
+        get = self.units.get
+        self.young.update((w, get(a) + get(b, b"")) for w, (a, b) in split)
+        for w, e in zip(whole, self.tok.encode_batch(whole, add_special_tokens=False)):
             self.young[w] = np.array(e.ids, "<u4").tobytes()
+        if len(self.units) > CACHED_UNITS:
+            self.old_units, self.units = self.units, {}
 
-    def ids(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        got = list(map(self.young.get, words))
-        if None in got:
-            self.learn(list({w for w, g in zip(words, got) if g is None}))
-            got = list(map(self.young.get, words))
-            if len(self.young) > CACHED_WORDS:
-                self.old, self.young = self.young, {}
-        return b"".join(got)
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        get = self.young.get
+        self.learn({w for words in split for w in words if get(w) is None})
+        out = [b"".join(map(get, words)) for words in split]
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        return out
 
 
 def _cut(path: str, seq: int, end: int, with_ids: bool):
@@ -86,8 +124,8 @@ def _cut(path: str, seq: int, end: int, with_ids: bool):
         last = np.array([end], "<u4").tobytes()
         for batch in batches:
             rows = {f.name: [] for f in PIECES}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = tok.ids(text) + last
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tok.ids(batch.column("text").to_pylist())):
+                ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * seq)):
                     own = ids[at:at + 4 * seq]
                     for name, v in (("doc_id", doc_id), ("piece", piece), ("start", at // 4), ("length", len(own) // 4),
