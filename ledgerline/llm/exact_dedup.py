@@ -43,7 +43,8 @@ class DigestIndex:
     def append(self, digests: DataFrame) -> None:
         """Add the digests of ``digests`` (doc_id, digest) that the index lacks;
         the largest doc_id of a batch represents its text."""
-        batch = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        # stored first: Spark would push the anti-join below the sums and shuffle every copy of a text to one task
+        batch = keep_table(digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "batch")
         new = batch.join(self.read().select("digest").hint("merge"), "digest", "left_anti")
         (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .select("digest", "keep_id", "group_size")
