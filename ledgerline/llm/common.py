@@ -112,8 +112,7 @@ def _power(base: int, n: int) -> list[np.ndarray]:
     kept = process_cache()
     got = kept.get(("powers", base))
     if got is None or len(got[0]) < n:
-        m = max(n, 1 << 16)
-        m = 1 << (m - 1).bit_length()
+        m = max(n + n // 8, 1 << 16)
         fwd, back = np.full(m, base, U64), np.full(m, pow(base, -1, 1 << 64), U64)
         fwd[0] = back[0] = 1
         got = kept["powers", base] = [np.cumprod(fwd, dtype=U64), np.cumprod(back, dtype=U64)]

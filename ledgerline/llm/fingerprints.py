@@ -31,7 +31,7 @@ from ledgerline.llm.common import (U64, batch_of, byte_values, dec, ddl, enc, gi
 
 K, S = 24, 8
 SKETCH = 64
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 3 << 20
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
