@@ -30,7 +30,7 @@ from ledgerline.llm.common import (U64, Chunk, Words, batch_of, ddl, dec, enc, g
 
 WINDOW = 20
 CELLS_PER_WINDOW = 32
-PER_SHARD = 4 << 20
+PER_SHARD = 2 << 20
 _Q, _Q2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 TO_SHARD = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("blob", pa.binary())])

@@ -34,8 +34,8 @@ from ledgerline.llm.common import (U64, Chunk, batch_of, byte_values, ddl, dec,
 from ledgerline.llm.substring_dedup import CELLS_PER_WINDOW, TO_CHUNK, TO_SHARD, add_up, cells_of, _by_shard
 
 LENGTH, K = 50, 24
-PER_SHARD = 4 << 20
-BUCKET_RECORDS = 200_000
+PER_SHARD = 1 << 20
+BUCKET_RECORDS = 50_000
 _Q2 = 0x94D049BB133111EB
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -206,9 +206,9 @@ def _bucket(length: int, k: int):
             strings = size[part] - length + 1
             who = np.repeat(np.arange(len(part)), strings)
             at = np.arange(len(who)) - np.repeat(np.cumsum(strings) - strings, strings)
-            here = start[part][who] + at
-            values = byte_values(data)
-            h, g = spans(rolling(values), here, here + length), spans(rolling(mix(values.copy()), _Q2), here, here + length, _Q2)
+            values = byte_values(_slices(data, start[part], size[part]))
+            here = (np.cumsum(size[part]) - size[part])[who] + at
+            h, g = spans(rolling(values), here, here + length), spans(rolling(mix(values), _Q2), here, here + length, _Q2)
             d = least[cls[head[several]]][who]
             o = np.lexsort((d, g, h))
             new = np.r_[True, (h[o][1:] != h[o][:-1]) | (g[o][1:] != g[o][:-1])]
