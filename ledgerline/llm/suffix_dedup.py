@@ -111,7 +111,7 @@ def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 
 
 def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray):
-    """Records to the buckets (bucket >= 0); what a chunk settles itself goes back to it (bucket -1)."""
+    """Records to the buckets (0 and up); what a chunk settles itself goes back to it (a group of its own, below 0)."""
     def run(batches):
         for batch in batches:
             for chunk, blob, got in zip(batch.column("chunk").to_pylist(), batch.column("blob"), batch.column("got").to_pylist()):
@@ -132,7 +132,7 @@ def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray):
                 later = doc > smallest
                 out = []
                 if later.any():
-                    out.append((-1, chunk, enc(start[later].astype(U64), size[later])))
+                    out.append((-1 - chunk, chunk, enc(start[later].astype(U64), size[later])))
                 s = np.flatnonzero(~later)
                 bucket = np.searchsorted(splitters, leading(c.data, at[s]), "right")
                 s = s[np.argsort(bucket, kind="stable")]
@@ -181,6 +181,8 @@ def _words_of(data: np.ndarray, start: np.ndarray, size: np.ndarray, words: int)
 def _bucket(length: int, k: int):
     def run(table: pa.Table) -> pa.Table:
         got = [(c, dec(b.as_py())) for c, b in zip(table.column("chunk").to_pylist(), table.column("blob"))]
+        if table.column("shard")[0].as_py() < 0:          # settled by its chunk
+            return table.select(["chunk", "blob"])
         n = [len(g[0]) for _, g in got]
         pos, size, doc, lead = (np.concatenate([g[i] for _, g in got]) for i in range(4))
         size, lead = size.astype(np.int64), lead.astype(np.int64)
@@ -281,8 +283,6 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, chunk_bytes:
         splitters = np.unique(np.array(cuts or [], np.int64))
     sketches = chunks.mapInArrow(_sketch(length, k, bits, cell_bits), ddl(TO_SHARD))
     repeated = keep_table(sketches.groupBy("shard").applyInArrow(add_up, ddl(TO_CHUNK)), "cells")
-    sent = keep_table(with_lists(chunks, repeated).mapInArrow(_suffixes(length, k, cell_bits, splitters), ddl(TO_SHARD)), "suffixes")
-    found = sent.where("shard >= 0").groupBy("shard").applyInArrow(_bucket(length, k), ddl(TO_CHUNK))
-    settled = sent.where("shard < 0").select("chunk", "blob")
-    gone = keep_table(found.unionByName(settled), "gone")
+    sent = with_lists(chunks, repeated).mapInArrow(_suffixes(length, k, cell_bits, splitters), ddl(TO_SHARD))
+    gone = keep_table(sent.groupBy("shard").applyInArrow(_bucket(length, k), ddl(TO_CHUNK)), "gone")
     return give_back_ids(with_lists(chunks, gone).mapInArrow(_remove, ddl(RESULT)))
