@@ -92,3 +92,10 @@ def string_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
 def r(c: Column | str, digits: int = 6) -> Column:
     """SQL rounding (half-up) used on both sides of every float comparison."""
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
+
+
+def spread(value, of=F.stddev_samp) -> Column:
+    """``of(value)``, exactly 0 where all values are equal: merged partial variances of
+    equal values can leave a residue that depends on the partitions."""
+    c = F.col(value) if isinstance(value, str) else value
+    return F.when((F.min(c) == F.max(c)) & of(c).isNotNull(), F.lit(0.0)).otherwise(of(c))

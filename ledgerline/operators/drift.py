@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.functions.exprs import numeric_columns, string_columns
+from ledgerline.functions.exprs import numeric_columns, spread, string_columns
 from ledgerline.functions.quantiles import group_quantiles
 from ledgerline.functions.sequence import prefix_sums
 
@@ -186,7 +186,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None
 
     def side(tag):
         s = long.filter(F.col("sample") == tag).groupBy("feature").agg(
-            F.avg("value").alias(f"{tag}_mean"), F.stddev_samp("value").alias(f"{tag}_std"),
+            F.avg("value").alias(f"{tag}_mean"), spread("value").alias(f"{tag}_std"),
             (F.count_if(F.col("value").isNull()) / F.count(F.lit(1))).alias(f"{tag}_missing_rate"))
         if with_medians:
             med = group_quantiles(long.filter(F.col("sample") == tag), ["feature"], "value", [0.5],

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.functions.exprs import finite, numeric_columns, safe_div
+from ledgerline.functions.exprs import finite, numeric_columns, safe_div, spread
 from ledgerline.functions.quantiles import group_quantiles
 from ledgerline.functions.sequence import (DEFAULT_BLOCK_ROWS, POS, bounded_window,
                                            carry_backward, carry_forward, with_positions)
@@ -167,8 +167,8 @@ def select_feature_columns(df: DataFrame, target: str = "price", preferred: Sequ
 def series_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Per-series count, mean, sample and population std (partial aggregates)."""
     return df.groupBy(*keys).agg(F.count(value).alias("_cnt"), F.avg(value).alias("_mean"),
-                                 F.stddev_samp(value).alias("_std"),
-                                 F.stddev_pop(value).alias("_std_pop"),
+                                 spread(value).alias("_std"),
+                                 spread(value, F.stddev_pop).alias("_std_pop"),
                                  F.min(value).alias("_min"), F.max(value).alias("_max"))
 
 
@@ -197,7 +197,7 @@ def series_parameters(df: DataFrame, keys: Sequence[str] = ("asset",), value: st
     """W13 + W14 parameters in one pass: per series mean, sample std and the
     quartile fences (count/mean/std ride along the quantile sketch pass)."""
     q = group_quantiles(df, keys, value, [0.25, 0.75], ["iqr_q1", "iqr_q3"],
-                        extra={"_mean": F.avg("_v"), "_std": F.stddev_samp("_v")})
+                        extra={"_mean": F.avg("_v"), "_std": spread("_v")})
     iqr = F.col("iqr_q3") - F.col("iqr_q1")
     return q.select(*keys, "_mean", "_std", "iqr_q1", "iqr_q3", iqr.alias("iqr_value"),
                     (F.col("iqr_q1") - multiplier * iqr).alias("iqr_lower_bound"),
@@ -244,7 +244,7 @@ def standard_scale(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -
     keys = list(keys)
     aggs = []
     for c in columns:
-        aggs += [F.avg(c).alias(f"_m_{c}"), F.stddev_pop(c).alias(f"_s_{c}")]
+        aggs += [F.avg(c).alias(f"_m_{c}"), spread(c, F.stddev_pop).alias(f"_s_{c}")]
     st = broadcast_if_small(df.groupBy(*keys).agg(*aggs))
     j = df.join(st, keys, "left")
     j = j.withColumns({c: (F.col(c) - F.col(f"_m_{c}")) /

@@ -9,19 +9,14 @@ import importlib
 
 # Model training is the heaviest work (and needs the most driver memory), so
 # the forecasting area is registered last, its cheapest queries first.
-AREAS = ["flagship", "cleaning", "features", "splits", "profile", "joins", "metrics",
+AREAS = ["flagship", "cleaning", "features", "profile", "metrics",
          "anomaly", "drift", "rules", "streaming", "forecast"]
 
 
 def _load():
     queries, oracle = {}, {}
     for area in AREAS:
-        try:
-            mod = importlib.import_module(f"ledgerline.plans.{area}")
-        except ModuleNotFoundError as e:
-            if e.name == f"ledgerline.plans.{area}":
-                continue
-            raise
+        mod = importlib.import_module(f"ledgerline.plans.{area}")
         queries.update(mod.QUERIES)
         oracle.update(getattr(mod, "ORACLE", {}))
     return queries, oracle

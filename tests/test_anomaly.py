@@ -90,3 +90,11 @@ def test_frozen_scoring_unknown_asset_is_normal(spark):
     out = {r.asset: r for r in A.score_new_data(new, state, mode="frozen").collect()}
     assert out["Stock A"].is_anomaly_iqr and out["Stock A"].anomaly_severity in ("low", "medium")
     assert not out["Other"].is_anomaly and out["Other"].price_z_score == 0.0
+
+
+def test_constant_series_has_no_spread(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.anomaly import detect_zscore
+    df = spark.range(100_000).select(F.lit("a").alias("asset"), F.lit(0.1).alias("price")).repartition(8)
+    assert detect_zscore(df).where("is_anomaly_zscore or price_z_score <> 0").count() == 0
