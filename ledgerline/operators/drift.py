@@ -41,7 +41,7 @@ def long_numeric(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> Data
 
 # X2
 def psi_level(psi):
-    return F.when(psi < PSI_MODERATE, "no_drift").when(psi < PSI_SIGNIFICANT, "moderate_drift") \
+    return F.when(psi.isNull() | (psi < PSI_MODERATE), "no_drift").when(psi < PSI_SIGNIFICANT, "moderate_drift") \
             .otherwise("significant_drift")
 
 
@@ -86,7 +86,10 @@ def psi_table(long: DataFrame, bins: int = BINS, epsilon: float = EPSILON) -> Da
     term = (c - r) * F.log(c / r)
     out = g.groupBy("feature").agg(F.sum(term).alias("_psi"), F.first("_const").alias("_const"))
     psi = F.when(F.col("_const"), F.lit(0.0)).otherwise(F.col("_psi"))
-    return out.select("feature", psi.alias("psi"))
+    sides = vals.groupBy("feature").agg(F.count_distinct("sample").alias("_sides"))
+    # a feature without values on one side has nothing to compare: PSI 0
+    return sides.join(out.select("feature", psi.alias("psi")), "feature", "left") \
+                .select("feature", F.when(F.col("_sides") < 2, F.lit(0.0)).otherwise(F.col("psi")).alias("psi"))
 
 
 # X3
@@ -100,13 +103,15 @@ def ks_table(long: DataFrame) -> DataFrame:
     n = vals.groupBy("feature").agg(F.count_if(F.col("sample") == "ref").alias("n_ref"),
                                     F.count_if(F.col("sample") == "cur").alias("n_cur"))
     j = cum.join(broadcast_if_small(n), "feature", "inner")
-    d = F.abs(F.col("cum_w_ref") / F.col("n_ref") - F.col("cum_w_cur") / F.col("n_cur"))
+    # no values on one side: null statistic and p-value
+    d = F.abs(F.try_divide("cum_w_ref", "n_ref") - F.try_divide("cum_w_cur", "n_cur"))
     stat = j.groupBy("feature", "n_ref", "n_cur").agg(F.max(d).alias("ks_statistic"))
     ne = F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))
-    lam = (F.sqrt(ne) + 0.12 + 0.11 / F.sqrt(ne)) * F.col("ks_statistic")
+    lam = (F.sqrt(ne) + 0.12 + F.try_divide(F.lit(0.11), F.sqrt(ne))) * F.col("ks_statistic")
     series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
                          lambda acc, k: acc + 2 * F.pow(F.lit(-1.0), k - 1) * F.exp(-2 * k * k * lam * lam))
-    p = F.when(F.col("ks_statistic") == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
+    p = F.when(F.col("ks_statistic") == 0, F.lit(1.0)).when(
+        F.col("ks_statistic").isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
     return stat.select("feature", "ks_statistic", p.alias("ks_p_value"), "n_ref", "n_cur")
 
 

@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

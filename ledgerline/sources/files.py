@@ -78,11 +78,12 @@ def load_metrics(spark: SparkSession, path: str, multi_line: bool = False) -> tu
     empty = spark.createDataFrame([], METRICS_SCHEMA)
     if not _exists(spark, path):
         return "missing", empty
-    try:
-        df = spark.read.schema(METRICS_SCHEMA).option("multiLine", multi_line).json(path)
-        return "available", df
-    except Exception:  # noqa: BLE001 - unreadable file is a status, not an error
+    schema = T.StructType([*METRICS_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+    df = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    bad, named = df.agg(F.count("_corrupt_record"), F.count("metric")).first()
+    if bad and not named:
         return "invalid", empty
+    return "available", df.where(F.col("_corrupt_record").isNull()).select(*METRICS_SCHEMA.names)
 
 
 # IO4

@@ -98,3 +98,21 @@ def test_drift_report_summary(spark):
     assert s.reference_rows == 300 and s.current_rows == 200
     assert s.total_features_checked == 3 and s.drift_detected
     assert "x" in s.drifted_features and "portfolio_value" in s.drifted_features
+
+
+def test_drift_with_one_empty_side(spark):
+    from ledgerline.operators import drift as X
+    for lone in ("ref", "cur"):
+        rows = [("x", lone, float(i)) for i in range(20)] + [("y", s, float(i)) for s in ("ref", "cur") for i in range(20)]
+        long = spark.createDataFrame(rows, "feature string, sample string, value double")
+        ks = {r["feature"]: r for r in X.ks_table(long).collect()}
+        assert ks["x"]["ks_statistic"] is None and ks["x"]["ks_p_value"] is None and ks["y"]["ks_statistic"] == 0
+        psi = {r["feature"]: r["psi"] for r in X.psi_table(long).collect()}
+        assert psi["x"] == 0 and abs(psi["y"]) < 1e-9
+
+
+def test_unreadable_metrics_are_invalid(spark, tmp_path):
+    from ledgerline.sources import files as IO
+    (tmp_path / "bad.json").write_text("this is no json\n")
+    status, df = IO.load_metrics(spark, str(tmp_path / "bad.json"))
+    assert status == "invalid" and df.count() == 0
