@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.broadcast import broadcast_if_small
 from ledgerline.llm.common import (NULL_ID, U64, Words, batch_of, dec, enc, give_back_ids, id_and_text, keep_table, mix, shard_bits,
                                    small_batches, texts)
 
@@ -275,11 +276,12 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     any_trusted = g.limit(1).count() > 0
     middle = g.groupBy("lang").agg(F.percentile_approx("x", 0.5, 10000).alias("m"), F.count(F.lit(1)).alias("k"))
     all_m = g.agg(F.percentile_approx("x", 0.5, 10000)).first()[0] if any_trusted else 0.0
-    own = g.join(middle, "lang").withColumn("y", settled(F.col("x"), F.col("n"), F.col("m")))
+    # one row a language, broadcast behind its count: a hot language must not meet in one task
+    own = g.join(broadcast_if_small(middle), "lang").withColumn("y", settled(F.col("x"), F.col("n"), F.col("m")))
     per = own.groupBy("lang").agg(F.max("m").alias("m"), F.max("k").alias("k"), F.percentile_approx("y", quantile, 10000).alias("q"))
     all_q = g.agg(F.percentile_approx(settled(F.col("x"), F.col("n"), F.lit(all_m)), quantile, 10000)).first()[0] if any_trusted else 0.0
     few = F.coalesce(F.col("k"), F.lit(0)) < least_trusted
-    out = scored.join(per, "lang", "left").withColumn("m", F.when(few, F.lit(all_m)).otherwise(F.col("m"))) \
+    out = scored.join(broadcast_if_small(per), "lang", "left").withColumn("m", F.when(few, F.lit(all_m)).otherwise(F.col("m"))) \
         .withColumn("q", F.when(few, F.lit(all_q)).otherwise(F.col("q")))
     limit = F.col("m") + slack * (F.col("q") - F.col("m"))
     known = F.lit(any_trusted)
