@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from ledgerline.session import checkpoint_dir, scratch_path
 
 # A parameter table (per-asset fences, bin edges, offsets per range partition,
-# fitted coefficients) is broadcast only when its row count is at most this.
-# Above it the join stays a shuffle join and AQE decides at run time.
+# fitted coefficients) is broadcast only when its rows and the bytes of its
+# rows written as JSON (at least their own width) are at most these. Above
+# them the join stays a shuffle join and AQE decides at run time.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialize ``small`` once, count it, and hint a broadcast only when
-    the count is within ``max_rows``; above it the join stays a shuffle join.
+def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                       max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Materialize ``small`` once, measure it, and hint a broadcast only when it
+    is within ``max_rows`` and ``max_bytes``; above them the join stays a shuffle join.
 
     The table is checkpointed (reliably, to the shared folder named by
     ``spark.checkpoint.dir``): the later join reuses it without recomputing
@@ -27,12 +30,13 @@ def broadcast_if_small(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) ->
     every use would carry (and re-plan) the whole upstream plan again."""
     checkpoint_dir(small.sparkSession)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    if n <= max_rows:
-        # a checked-small table: one partition is enough (later scans of it
-        # run one task instead of one per shuffle partition)
-        return F.broadcast(small.coalesce(1).checkpoint(eager=True))
-    return small.checkpoint(eager=True)
+    n, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))).first()
+    fits = n <= max_rows and size <= max_bytes
+    # a checked-small table: one partition is enough (later scans of it
+    # run one task instead of one per shuffle partition)
+    kept = (small.coalesce(1) if fits else small).checkpoint(eager=True)
+    small.unpersist()
+    return F.broadcast(kept) if fits else kept
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

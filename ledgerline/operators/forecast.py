@@ -9,6 +9,7 @@ place; only k x k sums per asset do.
 
 from __future__ import annotations
 
+import warnings
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -410,25 +411,31 @@ def sequence_forecast(model, reg: DataFrame, keys: Sequence[str] = ("asset",), h
 
 
 # F10
-def forecast(df: DataFrame, model_name: str = "all", horizon: int = HORIZON) -> DataFrame:
-    """Forecasts of one model or all of them (union by name); a model that
-    fails is skipped; none left -> error."""
+def forecast(df: DataFrame, model_name: str = "all", horizon: int = HORIZON, return_status: bool = False):
+    """Forecasts of one model or all of them (union by name). Of all models, one
+    that fails while it is fitted or planned is left out with a warning; none left
+    -> error. ``return_status`` adds a table (model_name, status, error) with a row per model."""
     names = MODEL_NAMES if model_name == "all" else [model_name]
     bad = [n for n in names if n not in MODEL_NAMES]
     if bad:
         raise ValueError(f"Unknown model(s) {bad}; choose from {MODEL_NAMES + ['all']}")
-    frames = []
+    frames, status = [], []
     for n in names:
         try:
             frames.append(_forecast_one(df, n, horizon))
-        except Exception:  # noqa: BLE001 - the application skips a failing model
+            status.append((n, "available", None))
+        except Exception as e:  # noqa: BLE001 - the application skips a failing model
             if model_name != "all":
                 raise
+            warnings.warn(f"no forecast by {n}: {e}", stacklevel=2)
+            status.append((n, "failed", str(e)))
     if not frames:
         raise ValueError("No forecasts could be generated")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
+    if return_status:
+        return out, df.sparkSession.createDataFrame(status, "model_name string, status string, error string")
     return out
 
 

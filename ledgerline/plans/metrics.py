@@ -14,6 +14,12 @@ from ledgerline.sources import tables as T
 PRED_COLS = [f"{m}_prediction" for m in FC.PREDICTION_MODELS]
 
 
+def _comparable(df):
+    """MSE is a squared price (~1e10 here), where a double has no 6th decimal
+    left: both engines round it to 2 for the comparison, after all other steps."""
+    return df.withColumn("mse", F.round("mse", 2))
+
+
 def _backtest(spark, sf):
     return FC.baseline_backtest(T.prices(spark, sf))
 
@@ -27,15 +33,15 @@ def f11_backtest_best_model(spark, sf):
 
 
 def m1_m5_metric_set(spark, sf):
-    return M.metric_set(_backtest(spark, sf), pred="previous_price_prediction")
+    return _comparable(M.metric_set(_backtest(spark, sf), pred="previous_price_prediction"))
 
 
 def m6_evaluate_by_asset(spark, sf):
-    return M.evaluate(_backtest(spark, sf), pred="lag_regression_prediction")
+    return _comparable(M.evaluate(_backtest(spark, sf), pred="lag_regression_prediction"))
 
 
 def m7_evaluate_prediction_columns(spark, sf):
-    return M.evaluate_columns(_backtest(spark, sf), PRED_COLS)
+    return _comparable(M.evaluate_columns(_backtest(spark, sf), PRED_COLS))
 
 
 def _averaged(spark, sf):
@@ -43,20 +49,20 @@ def _averaged(spark, sf):
 
 
 def m8_average_metrics(spark, sf):
-    return _averaged(spark, sf)
+    return _comparable(_averaged(spark, sf))
 
 
 def m9_comparison_table(spark, sf):
-    return M.comparison_table(_averaged(spark, sf))
+    return _comparable(M.comparison_table(_averaged(spark, sf)))
 
 
 def m10_best_model(spark, sf):
-    return M.best_model(M.comparison_table(_averaged(spark, sf)))
+    return _comparable(M.best_model(M.comparison_table(_averaged(spark, sf))))
 
 
 def m11_combined_evaluation(spark, sf):
     ev = M.evaluate_columns(_backtest(spark, sf), PRED_COLS)
-    return M.combined_evaluation(ev.filter(F.col("asset") == M.ALL))
+    return _comparable(M.combined_evaluation(ev.filter(F.col("asset") == M.ALL)))
 
 
 BT = (sql_with("prices") + ", f AS (SELECT *, lag(price, 1) OVER (PARTITION BY asset ORDER BY date, row_id) AS l1, "
@@ -78,7 +84,7 @@ def msql(y: str, p: str) -> str:
     d = f"((abs({y}) + abs({p})) / 2)"
     r2 = (f"CASE WHEN count({y}) < 2 THEN NULL WHEN var_pop({y}) * count({y}) = 0 THEN CASE WHEN sum({e} * {e}) = 0 "
           f"THEN 1.0 ELSE 0.0 END ELSE 1 - sum({e} * {e}) / (var_pop({y}) * count({y})) END")
-    return (f"round(avg(abs({e})), 6) AS mae, round(avg({e} * {e}), 2) AS mse, round(sqrt(avg({e} * {e})), 6) AS rmse, "
+    return (f"round(avg(abs({e})), 6) AS mae, round(avg({e} * {e}), 6) AS mse, round(sqrt(avg({e} * {e})), 6) AS rmse, "
             f"round(coalesce(avg(CASE WHEN {y} <> 0 THEN abs({e} / {y}) END) * 100, 0), 6) AS mape, "
             f"round(coalesce(avg(CASE WHEN {d} <> 0 THEN abs({e}) / {d} END) * 100, 0), 6) AS smape, "
             f"round({r2}, 6) AS r2_score, CAST(count(*) AS BIGINT) AS records")
@@ -87,7 +93,7 @@ def msql(y: str, p: str) -> str:
 EV = (", ev AS (SELECT model_name, '__all__' AS asset, " + msql("actual_price", "predicted_price") + " FROM lg "
       "GROUP BY model_name UNION ALL SELECT model_name, asset, " + msql("actual_price", "predicted_price") +
       " FROM lg GROUP BY model_name, asset)")
-AV = (", av AS (SELECT model_name, " + ", ".join(f"round(avg({m}), {2 if m == 'mse' else 6}) AS {m}" for m in M.METRICS) +
+AV = (", av AS (SELECT model_name, " + ", ".join(f"round(avg({m}), 6) AS {m}" for m in M.METRICS) +
       ", CAST(count(DISTINCT asset) AS BIGINT) AS trained_asset_count, "
       "array_to_string(list_sort(list(DISTINCT asset)), ', ') AS trained_assets FROM ev WHERE asset <> '__all__' "
       "GROUP BY model_name)")
@@ -108,17 +114,19 @@ ORACLE = {
                                "round(least(e0, e1, e2), 6) AS absolute_error, CASE WHEN e0 <= e1 AND e0 <= e2 THEN "
                                "'previous_price' WHEN e1 <= e2 THEN 'rolling_mean_7' ELSE 'lag_regression' END AS "
                                "best_model FROM e",
-    "m1_m5_metric_set": BT + " SELECT " + msql("actual_price", "previous_price_prediction") + " FROM bt",
-    "m6_evaluate_by_asset": BT + " SELECT '__all__' AS asset, " + msql("actual_price", "lag_regression_prediction")
+    "m1_m5_metric_set": BT + " SELECT * REPLACE (round(mse, 2) AS mse) FROM (SELECT "
+                        + msql("actual_price", "previous_price_prediction") + " FROM bt)",
+    "m6_evaluate_by_asset": BT + " SELECT * REPLACE (round(mse, 2) AS mse) FROM (SELECT '__all__' AS asset, "
+                            + msql("actual_price", "lag_regression_prediction")
                             + " FROM bt UNION ALL SELECT asset, " + msql("actual_price", "lag_regression_prediction")
-                            + " FROM bt GROUP BY asset",
-    "m7_evaluate_prediction_columns": BT + EV + " SELECT * FROM ev",
-    "m8_average_metrics": BT + EV + AV + " SELECT * FROM av",
-    "m9_comparison_table": BT + EV + AV + CMP + " SELECT * FROM cmp",
+                            + " FROM bt GROUP BY asset)",
+    "m7_evaluate_prediction_columns": BT + EV + " SELECT * REPLACE (round(mse, 2) AS mse) FROM ev",
+    "m8_average_metrics": BT + EV + AV + " SELECT * REPLACE (round(mse, 2) AS mse) FROM av",
+    "m9_comparison_table": BT + EV + AV + CMP + " SELECT * REPLACE (round(mse, 2) AS mse) FROM cmp",
     "m10_best_model": BT + EV + AV + CMP + " SELECT model_name AS best_model, 'rmse' AS selection_metric, "
-                      "rmse AS metric_value, " + ", ".join(M.METRICS) + ", 'Selected because it has the best rmse.' "
+                      "rmse AS metric_value, " + ", ".join("round(mse, 2) AS mse" if m == "mse" else m for m in M.METRICS) + ", 'Selected because it has the best rmse.' "
                       "AS reason FROM cmp WHERE rank = 1",
-    "m11_combined_evaluation": BT + EV + " SELECT * FROM ev WHERE asset = '__all__'",
+    "m11_combined_evaluation": BT + EV + " SELECT * REPLACE (round(mse, 2) AS mse) FROM ev WHERE asset = '__all__'",
 }
 
 QUERIES = {
@@ -140,7 +148,7 @@ def io3_metrics_json_scan(spark, sf):
 
     from ledgerline.session import scratch_path
     from ledgerline.sources import files as IO
-    avg = _averaged(spark, sf)
+    avg = _comparable(_averaged(spark, sf))
     long = avg.unpivot(["model_name"], list(M.METRICS), "metric", "value") \
               .withColumn("asset", F.lit(M.ALL)).select("model_name", "asset", "metric", "value")
     path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
@@ -151,6 +159,6 @@ def io3_metrics_json_scan(spark, sf):
 
 
 ORACLE["io3_metrics_json_scan"] = (BT + EV + AV + " SELECT model_name, '__all__' AS asset, metric, value, "
-                                   "'available' AS status, 'missing' AS missing_status FROM av UNPIVOT "
+                                   "'available' AS status, 'missing' AS missing_status FROM (SELECT * REPLACE (round(mse, 2) AS mse) FROM av) UNPIVOT "
                                    "(value FOR metric IN (" + ", ".join(M.METRICS) + "))")
 QUERIES["io3_metrics_json_scan"] = io3_metrics_json_scan
