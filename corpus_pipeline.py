@@ -9,7 +9,8 @@ empty tables are those of their operators (see ``ledgerline/llm``):
 * quality: rows that the classifier rejects go; without labels all stay.
 * exact_dedup: of equal texts the row with the largest doc_id stays.
 * near_dedup: of each group of documents linked at Jaccard 0.75 over 5-word shingles
-  the one with the smallest doc_id stays; documents without words stay.
+  the one with the smallest doc_id stays (a null id is the largest; of equal ids, the text with the
+  smallest digest); documents without words stay.
 * mix: sources at weights 1, 2, 3, repeating; a document comes once for each pass that takes
   words of it (whole or, at the edge of a drawn block, in part), documents without words are in no mix.
 * pack: every piece's place in sequences of at most 4096 tokens.
@@ -18,12 +19,11 @@ empty tables are those of their operators (see ``ledgerline/llm``):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerline.llm.common import NULL_ID, documents, keep_table
+from ledgerline.llm.common import documents, keep_table
 from ledgerline.llm.exact_dedup import drop_copies
 from ledgerline.llm.mixing import mixed_documents
-from ledgerline.llm.ngram_join import jaccard_groups
+from ledgerline.llm.ngram_join import drop_near_copies
 from ledgerline.llm.packing import pack
 from ledgerline.llm.quality import keep_good
 
@@ -37,9 +37,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    lost = jaccard_groups(docs).where("not (component_id <=> doc_id)").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id")).distinct()
-    return (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-            .join(lost, "_id", "left_anti").select(*docs.columns))
+    return drop_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

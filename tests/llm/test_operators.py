@@ -201,3 +201,24 @@ def test_pipeline(spark, sf_small):
     import corpus_pipeline as P
     out = P.run(spark, sf_small)
     assert out.count() > 0 and out.groupBy("sequence_id").sum("length").where("`sum(length)` > 4096").count() == 0
+
+
+def test_near_dedup_with_null_and_repeated_ids(spark):
+    """Every group of linked texts keeps exactly one row, whatever its ids; texts of other groups are untouched."""
+    import corpus_pipeline as P
+    text = lambda k, extra="": " ".join(f"w{k}x{i}" for i in range(40)) + extra
+    given = [(1, text(0)), (None, text(0, " more")),                                # a null id links to a smaller id
+             (None, text(1)), (None, text(2)),                                      # unrelated null ids
+             (None, text(3)), (None, text(3, " a")), (None, text(3, " b")),         # a group of null ids alone
+             (7, text(4)), (7, text(5)), (2, text(4, " z")),                        # one of two texts under one id has a near copy
+             (8, text(6)), (8, text(6, " y")),                                      # near copies under one id
+             (9, text(7)), (9, text(7)), (None, None), (None, " \n"), (9, "")]      # a row repeated whole, rows without words
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0, "x") for i, t in given], SCHEMA).repartition(3)
+    got = P.near_dedup(spark, docs, "").collect()
+    of = lambda k: sorted(((r["doc_id"], r["text"]) for r in got if words(r["text"]) and r["text"].startswith(f"w{k}x")), key=str)
+    assert of(0) == [(1, text(0))] and of(1) == [(None, text(1))] and of(2) == [(None, text(2))]
+    same = min((text(3), text(3, " a"), text(3, " b")), key=lambda t: hashlib.sha256(t.encode()).digest())
+    assert of(3) == [(None, same)]
+    assert of(4) == [(2, text(4, " z"))] and of(5) == [(7, text(5))]
+    assert len(of(6)) == 1 and of(7) == [(9, text(7))]
+    assert len(got) == 8 + 3 and set(got[0].asDict()) == set(docs.columns)
