@@ -9,11 +9,15 @@ range-partitioned by leading bytes with sampled splitters; a bucket sorts its
 suffixes by multikey quicksort, 8 bytes a key, refining only ties, so equal
 records become neighbours. The smallest document of each distinct record is kept; records that
 differ but share the k-gram are compared string by string (two 64-bit hashes of the bytes).
-Splitters cut between different leading bytes, never inside equal ones, so all
-suffixes that share a k-gram meet in one bucket and no match crosses a boundary.
+Splitters cut between different leading bytes; ranges of one frequent lead, and all ranges where there would be
+more than ``MOST_SPLITTERS``, are cut further by the hash of the whole k-gram. So all suffixes
+that share a k-gram meet in one bucket and no match crosses a boundary.
 
 Within a chunk, equal records of later documents are settled at once, so a passage that
-very many documents share sends one record a chunk.
+very many documents share sends one record a chunk. Its edges do not: there every document has its own record around
+one k-gram. The first pass also adds up the records of each cell, and a k-gram with more than
+``bucket_records`` / ``HOT_PART`` of them is hot. Hot records are not gathered by k-gram: a chunk takes the smallest document of
+each of their strings, and these minima meet by the hash of the whole string.
 
 Defined cases: a null text is empty (0 bytes, nothing removed); a text shorter than ``length``
 keeps all; rows with the same doc_id are one document (no removal between them); rows
@@ -29,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import (U64, Chunk, batch_of, byte_values, ddl, dec, enc, give_back_ids, keep_table, leading, member, merged,
+from ledgerline.llm.common import (U64, Chunk, batch_of, byte_values, ddl, dec, enc, give_back_ids, keep_table, leading, member,
                                    mix, pack_corpus, rolling, shard_bits, spans, with_lists)
-from ledgerline.llm.substring_dedup import CELLS_PER_WINDOW, TO_CHUNK, TO_SHARD, add_up, cells_of, _by_shard
+from ledgerline.llm.substring_dedup import CELLS_PER_WINDOW, TO_CHUNK, TO_SHARD, cells_of, _by_shard
 
 LENGTH, K = 50, 24
 PER_SHARD = 1 << 20
 BUCKET_RECORDS = 50_000
+HOT_PART = 10
+MOST_SPLITTERS = 10_000
+STRINGS = 1 << 40     # shards from here on hold strings of hot records
 _Q2 = 0x94D049BB133111EB
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -86,55 +93,139 @@ class Runs:
                                       for t, v in ((tail[i:i + 100_000], self.low[i:i + 100_000]) for i in range(0, len(tail), 100_000))])
 
 
+def _own_records(c: Chunk, runs: Runs, length: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the runs ``keep``: the document, and whether an earlier document of the chunk has the same record."""
+    start, size, doc = runs.start[keep], runs.count[keep] + length - 1, c.ids[runs.doc[keep]]
+    same = spans(rolling(byte_values(c.data)), start, start + size) ^ mix(size.astype(U64))
+    order = np.lexsort((doc, same))
+    head = np.r_[True, same[order][1:] != same[order][:-1]] if len(order) else np.zeros(0, bool)
+    first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
+    smallest = np.empty(len(order), np.int64)
+    smallest[order] = doc[first]
+    return doc, doc > smallest
+
+
 def _sketch(length: int, k: int, bits: int, cell_bits: int):
     def run(batches):
         for batch in batches:
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob")):
                 c = Chunk(blob.as_py())
                 runs = Runs(c, length, k)
-                # one entry per cell; "2 or more" only if two documents of the chunk have it
-                cell, doc = cells_of(runs.low, cell_bits), c.ids[runs.doc]
+                # one entry per cell; "2 or more" only if two documents of the chunk have it; the records the chunk would send
+                cell = cells_of(runs.low, cell_bits)
+                doc, later = _own_records(c, runs, length, np.arange(len(cell)))
                 order = np.lexsort((doc, cell))
                 cell, doc = cell[order], doc[order]
                 new = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, int)
                 last = np.r_[new[1:], len(cell)] - 1 if len(new) else new
                 cells, two = cell[new], doc[new] != doc[last]
-                out = [(s, enc(cells[a:b], np.packbits(two[a:b]))) for s, a, b in _by_shard(cells << U64(64 - cell_bits), bits)]
+                times = np.add.reduceat(~later[order], new, dtype=np.int64) if len(new) else new
+                times = np.minimum(times, 65535).astype(np.uint16)
+                out = [(s, enc(cells[a:b], np.packbits(two[a:b]), times[a:b])) for s, a, b in _by_shard(cells << U64(64 - cell_bits), bits)]
                 yield batch_of(TO_SHARD, shard=[s for s, _ in out], chunk=[chunk] * len(out), blob=[b for _, b in out])
     return run
 
 
+def _repeated(hot: int):
+    """Adds up the sketches of one shard; each chunk gets back its cells that count 2 or more in all, and which of
+    them have more than ``hot`` records in all."""
+    def run(table: pa.Table) -> pa.Table:
+        got = [dec(b.as_py()) for b in table.column("blob")]
+        cells = np.concatenate([g[0] for g in got])
+        twice = np.concatenate([np.unpackbits(g[1], count=len(g[0])).astype(bool) for g in got])
+        times = np.concatenate([g[2] for g in got]).astype(np.int64)
+        order = np.argsort(cells, kind="stable")
+        edge = np.flatnonzero(np.r_[True, cells[order][1:] != cells[order][:-1]])
+        per = np.diff(np.r_[edge, len(cells)])
+        hit, many = np.zeros(len(cells), bool), np.zeros(len(cells), bool)
+        hit[order] = np.repeat((per > 1) | np.logical_or.reduceat(twice[order], edge), per)
+        many[order] = np.repeat(np.add.reduceat(times[order], edge) > hot, per)
+        ends = np.cumsum([len(g[0]) for g in got])
+        back = []
+        for c, g, e in zip(table.column("chunk").to_pylist(), got, ends):
+            own = hit[e - len(g[0]):e]
+            if own.any():
+                back.append((c, enc(g[0][own], many[e - len(g[0]):e][own].astype(np.uint8))))
+        return pa.Table.from_batches([batch_of(TO_CHUNK, chunk=[c for c, _ in back], blob=[b for _, b in back])])
+    return run
+
+
+def _spans_of(at: np.ndarray, length: int) -> bytes:
+    """The strings at ascending places as spans; neighbours (always of one document) as one."""
+    up = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
+    return enc(at[up].astype(U64), at[np.r_[up[1:], len(at)] - 1] - at[up] + length)
+
+
+def _hot_strings(c: Chunk, start: np.ndarray, count: np.ndarray, doc: np.ndarray, length: int, bits: int) -> tuple[np.ndarray, list]:
+    """Places of the strings that an earlier document of the chunk has; the others as messages to the shards of their hashes."""
+    at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    doc = np.repeat(doc, count)
+    values = byte_values(c.data)
+    h, g = spans(rolling(values), at, at + length), spans(rolling(mix(values), _Q2), at, at + length, _Q2)
+    o = np.lexsort((doc, g, h))
+    at, doc, h, g = at[o], doc[o], h[o], g[o]
+    new = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]
+    late = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
+    settled, own = np.sort(at[late]), ~late
+    at, doc, h, g = at[own], doc[own], h[own], g[own]
+    return settled, [(STRINGS + s, enc(h[a:b], g[a:b], doc[a:b], at[a:b].astype(np.uint32 if len(values) < 1 << 32 else U64)))
+                     for s, a, b in _by_shard(h, bits)]
+
+
+def _strings(table: pa.Table, length: int) -> pa.Table:
+    """Each chunk gets back its strings that a document with a smaller id has."""
+    got = [dec(b.as_py()) for b in table.column("blob")]
+    h, g, doc, at = (np.concatenate([x[i] for x in got]) for i in range(4))
+    o = np.lexsort((doc, g, h))
+    new = np.r_[True, (h[o][1:] != h[o][:-1]) | (g[o][1:] != g[o][:-1])]
+    late = np.zeros(len(o), bool)
+    late[o] = doc[o] > doc[o][np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
+    ends = np.cumsum([len(x[0]) for x in got])
+    back = [(c, _spans_of(np.sort(at[e - len(x[0]):e][late[e - len(x[0]):e]].astype(np.int64)), length))
+            for c, x, e in zip(table.column("chunk").to_pylist(), got, ends) if late[e - len(x[0]):e].any()]
+    return pa.Table.from_batches([batch_of(TO_CHUNK, chunk=[c for c, _ in back], blob=[b for _, b in back])])
+
+
 def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The bytes of many slices, one after the other."""
     shift = np.repeat(start - (np.cumsum(size) - size), size)
     return data[np.arange(int(size.sum())) + shift]
 
 
-def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray):
-    """Records to the buckets (0 and up); what a chunk settles itself goes back to it (a group of its own, below 0)."""
+def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray, weight: np.ndarray, subs: int, hot_bits: int):
+    """Records to the buckets (0 and up), strings of hot records to the shards of their hashes (``STRINGS`` and up); what
+    a chunk settles itself goes back to it (a group of its own, below 0)."""
     def run(batches):
         for batch in batches:
             for chunk, blob, got in zip(batch.column("chunk").to_pylist(), batch.column("blob"), batch.column("got").to_pylist()):
-                flagged = merged(got)
-                if not len(flagged):
+                if not got:
                     continue
+                flagged, hot = (np.concatenate(x) for x in zip(*map(dec, got)))
+                by_cell = np.argsort(flagged)
+                flagged, hot = flagged[by_cell], hot[by_cell] > 0
                 c = Chunk(blob.as_py())
                 runs = Runs(c, length, k)
-                keep = np.flatnonzero(member(cells_of(runs.low, cell_bits), flagged))
-                start, size, doc, at = runs.start[keep], runs.count[keep] + length - 1, c.ids[runs.doc[keep]], runs.at[keep]
-                prefix = rolling(byte_values(c.data))
-                same = spans(prefix, start, start + size) ^ mix(size.astype(U64))
-                order = np.lexsort((doc, same))
-                head = np.r_[True, same[order][1:] != same[order][:-1]] if len(order) else np.zeros(0, bool)
-                first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
-                smallest = np.empty(len(order), np.int64)
-                smallest[order] = doc[first]
-                later = doc > smallest
+                cell = cells_of(runs.low, cell_bits)
+                keep = np.flatnonzero(member(cell, flagged))
+                start, size, at, low = runs.start[keep], runs.count[keep] + length - 1, runs.at[keep], runs.low[keep]
+                doc, later = _own_records(c, runs, length, keep)
                 out = []
                 if later.any():
                     out.append((-1 - chunk, chunk, enc(start[later].astype(U64), size[later])))
-                s = np.flatnonzero(~later)
-                bucket = np.searchsorted(splitters, leading(c.data, at[s]), "right")
+                is_hot = ~later & hot[np.searchsorted(flagged, cell[keep])] if len(keep) else later
+                if is_hot.any():
+                    settled, sent = _hot_strings(c, start[is_hot], runs.count[keep][is_hot], doc[is_hot], length, hot_bits)
+                    if len(settled):
+                        out.append((-1 - chunk, chunk, _spans_of(settled, length)))
+                    out += [(s, chunk, b) for s, b in sent]
+                s = np.flatnonzero(~later & ~is_hot)
+                lead = leading(c.data, at[s])
+                bucket = np.searchsorted(splitters, lead, "right")
+                parts = np.full(len(s), subs)
+                if len(splitters):                        # a lead that takes up several splitters is cut in as many
+                    own = np.maximum(bucket - 1, 0)
+                    parts = np.where(splitters[own] == lead, weight[own] * subs, subs)
+                bucket = bucket + (len(splitters) + 1) * (mix(low[s]) % parts.astype(U64)).astype(np.int64)
                 s = s[np.argsort(bucket, kind="stable")]
                 bucket = np.sort(bucket, kind="stable")
                 edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
@@ -180,9 +271,11 @@ def _words_of(data: np.ndarray, start: np.ndarray, size: np.ndarray, words: int)
 
 def _bucket(length: int, k: int):
     def run(table: pa.Table) -> pa.Table:
-        got = [(c, dec(b.as_py())) for c, b in zip(table.column("chunk").to_pylist(), table.column("blob"))]
         if table.column("shard")[0].as_py() < 0:          # settled by its chunk
             return table.select(["chunk", "blob"])
+        if table.column("shard")[0].as_py() >= STRINGS:
+            return _strings(table, length)
+        got = [(c, dec(b.as_py())) for c, b in zip(table.column("chunk").to_pylist(), table.column("blob"))]
         n = [len(g[0]) for _, g in got]
         pos, size, doc, lead = (np.concatenate([g[i] for _, g in got]) for i in range(4))
         size, lead = size.astype(np.int64), lead.astype(np.int64)
@@ -275,14 +368,17 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, chunk_bytes:
     runs = max(1, 2 * n // (length - k + 2))              # about one smallest k-gram in half a window
     bits = shard_bits(runs, per_shard)
     cell_bits = max(bits, (CELLS_PER_WINDOW * runs - 1).bit_length())
-    buckets = int(max(1, min(10_000, runs // 4 // bucket_records)))
-    splitters = np.zeros(0, np.int64)
-    if buckets > 1:                                       # a few numbers: percentiles of 32 sampled places a chunk
+    buckets = int(max(1, runs // 4 // bucket_records))
+    subs = -(-buckets // MOST_SPLITTERS)                  # ranges are cut by hash where splitters alone would be too many
+    ranges = -(-buckets // subs)
+    splitters, weight = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if ranges > 1:                                        # a few numbers: percentiles of 32 sampled places a chunk
         cuts = chunks.select(F.explode("lead").alias("lead")).agg(
-            F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 20 * buckets)).first()[0]
-        splitters = np.unique(np.array(cuts or [], np.int64))
+            F.percentile_approx("lead", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
+        splitters, weight = np.unique(np.array(cuts or [], np.int64), return_counts=True)
     sketches = chunks.mapInArrow(_sketch(length, k, bits, cell_bits), ddl(TO_SHARD))
-    repeated = keep_table(sketches.groupBy("shard").applyInArrow(add_up, ddl(TO_CHUNK)), "cells")
-    sent = with_lists(chunks, repeated).mapInArrow(_suffixes(length, k, cell_bits, splitters), ddl(TO_SHARD))
+    repeated = keep_table(sketches.groupBy("shard").applyInArrow(_repeated(bucket_records // HOT_PART), ddl(TO_CHUNK)), "cells")
+    # strings are at most as many as bytes, some 14 a run: four times the shards of the runs hold them
+    sent = with_lists(chunks, repeated).mapInArrow(_suffixes(length, k, cell_bits, splitters, weight, subs, bits + 2), ddl(TO_SHARD))
     gone = keep_table(sent.groupBy("shard").applyInArrow(_bucket(length, k), ddl(TO_CHUNK)), "gone")
     return give_back_ids(with_lists(chunks, gone).mapInArrow(_remove, ddl(RESULT)))

@@ -222,3 +222,38 @@ def test_near_dedup_with_null_and_repeated_ids(spark):
     assert of(4) == [(2, text(4, " z"))] and of(5) == [(7, text(5))]
     assert len(of(6)) == 1 and of(7) == [(9, text(7))]
     assert len(got) == 8 + 3 and set(got[0].asDict()) == set(docs.columns)
+
+
+def test_suffix_dedup_hot_passage(spark, monkeypatch):
+    """A passage of a third of all documents: right results, and no task gathers the records around its edges."""
+    import ledgerline.llm.suffix_dedup as S
+    rng = np.random.default_rng(5)
+    text = lambda n: "".join(rng.choice(list("abcdefgh "), n))
+    passage = text(90)
+    given = [(i, text(60) + (passage if i % 3 == 0 else "") + text(int(rng.integers(0, 60)))) for i in range(600)] + [(None, text(9) + passage)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0, "x") for i, t in given], SCHEMA).repartition(3)
+    low, want, most = {}, [], 40
+    for i, t in given:
+        for j in range(len(t) - 49):
+            low[t[j:j + 50]] = min(low.get(t[j:j + 50], 1 << 62), 1 << 62 if i is None else i)
+    for i, t in given:
+        lost = bytearray(len(t))
+        for j in range(len(t) - 49):
+            if low[t[j:j + 50]] < (1 << 62 if i is None else i):
+                lost[j:j + 50] = b"\1" * 50
+        want.append((-1 if i is None else i, sum(lost), "".join(x for x, g in zip(t, lost) if not g)))
+    bucket, dec = S._bucket, S.dec
+
+    def bounded(length, k):
+        inner = bucket(length, k)
+
+        def run(table):
+            if 0 <= table.column("shard")[0].as_py() < 1 << 40:
+                n = sum(len(dec(b.as_py())[0]) for b in table.column("blob"))
+                assert n <= most, f"{n} records in one task"
+            return inner(table)
+        return run
+
+    monkeypatch.setattr(S, "_bucket", bounded)
+    got = S.suffix_dedup(docs, chunk_bytes=4000, per_shard=1000, bucket_records=20).collect()
+    assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_removed"], bytes(r["kept"]).decode()) for r in got) == sorted(want)
