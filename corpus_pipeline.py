@@ -12,7 +12,8 @@ empty tables are those of their operators (see ``ledgerline/llm``):
   the one with the smallest doc_id stays (a null id is the largest; of equal ids, the text with the
   smallest digest); documents without words stay.
 * mix: sources at weights 1, 2, 3, repeating; a document comes once for each pass that takes
-  words of it (whole or, at the edge of a drawn block, in part), documents without words are in no mix.
+  it, always with its whole text (a source's words are off its target by half a document
+  at most); documents without words are in no mix.
 * pack: every piece's place in sequences of at most 4096 tokens.
 """
 

@@ -20,7 +20,9 @@ Defined cases: a null or blank text has size 0 and nothing of it is taken; a
 null source is a source of its own, ordered last; rows repeated whole are
 separate rows; a null doc_id is an id of its own; an empty table gives an
 empty mix; sources without words get target 0. A document that lies across
-the edge of a drawn block is taken in part.
+the edge of a drawn block is taken in part; with ``whole`` (the pipeline's mix) blocks end at document
+edges instead, every document is taken whole or not, and a source's words are off its target by half a
+document at most.
 """
 
 from __future__ import annotations
@@ -131,19 +133,8 @@ def split_quotas(quotas: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     return nodes.select((F.col("node") - (1 << levels)).alias("shard"), F.explode("q").alias("s")).select("shard", "s.sid", "s.n")
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-        seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(rows, pieces). ``rows``: every document row with size, source_size, target.
-    ``pieces``: doc_id, h, copy, size, shard, pass, block, lo, hi, place: the words
-    [lo, hi) of that row belong to the shard, in the order of ``place``."""
-    sized = keep_table(sized_rows(docs), "sizes")
-    targets = keep_table(_quotas(source_targets(sized), block_words), "targets")
-    n_rows, words = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    shards = max(MIN_SHARDS, 1 << max(0, -(-int(words) // shard_words) - 1).bit_length())
-    rows = sized.join(broadcast_if_small(targets.select("key", "sid", "source_size", "target")), "key")
-
-    laid = running_before(rows.withColumn("hash", F.md5(F.col("doc_id").cast("string"))), ["sid"], ["doc_id", "h", "copy"],
-                   "size", hex_digits(n_rows), "at")
+def _word_blocks(laid: DataFrame, targets: DataFrame, words: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of ``block_words`` words: the parts of documents in them, and the drawn blocks (sid, pass, block, words, turn)."""
     lo_block, hi_block = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
     parts = (laid.where("size > 0").select("doc_id", "h", "copy", "size", "sid", "at", F.explode(F.sequence(lo_block, hi_block)).alias("block"))
              .withColumn("from", F.greatest(F.col("at"), F.col("block") * block_words) - F.col("block") * block_words)
@@ -156,7 +147,7 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     blocks = (runs.repartition("sid", "run", "pass")
               .withColumn("block", F.explode(F.expr("sequence(run * 65536, least(n_blocks, (run + 1) * 65536) - 1)")))
               .withColumn("hash", F.md5(F.concat_ws(":", "sid", "pass", "block"))).drop("run"))
-    n_blocks = max(1, int(words) // block_words)
+    n_blocks = max(1, words // block_words)
     ranked = keep_table(running_before(blocks, ["sid", "pass"], ["block"], None, hex_digits(n_blocks), "rank"), "blocks")
     short = ranked.where("block = n_blocks - 1").select("sid", "pass", F.col("rank").alias("short_rank"))
     ranked = ranked.join(broadcast_if_small(short), ["sid", "pass"])
@@ -166,6 +157,45 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
                                .otherwise(F.least(full, F.col("rest_words") - before)))
              .where("words > 0").withColumn("turn", F.col("pass") * F.col("n_blocks") + F.col("rank"))
              .select("sid", "pass", "block", "words", "turn"))
+    return parts, drawn
+
+
+def _whole_blocks(laid: DataFrame, targets: DataFrame, words: int, block_words: int) -> tuple[DataFrame, DataFrame]:
+    """The same with blocks of whole documents: a block has the documents whose middle lies in its ``block_words`` words, so it
+    ends at the document edge nearest to theirs; ``from`` is the document's place in the block. The words
+    of a drawn block are its own, of the last one of the last pass what is left to the target."""
+    parts = laid.where("size > 0").withColumn("block", F.expr(f"(2 * at + size) div (2 * {block_words})"))
+    own = keep_table(parts.groupBy("sid", "block").agg(F.min("at").alias("first"), F.sum("size").alias("own")), "own")
+    parts = parts.join(own.select("sid", "block", "first"), ["sid", "block"]).withColumn("from", F.col("at") - F.col("first")) \
+        .select("doc_id", "h", "copy", "size", "sid", "at", "block", "from")
+    per = own.groupBy("sid").agg(F.count(F.lit(1)).alias("n_own"))
+    per = broadcast_if_small(targets.select("sid", "passes", "rest_words").join(per, "sid"))
+    blocks = (own.join(per, "sid").withColumn("pass", F.explode(F.expr("sequence(0L, passes)"))).where("pass < passes or rest_words > 0")
+              .withColumn("hash", F.md5(F.concat_ws(":", "sid", "pass", "block"))))
+    digits = hex_digits(max(1, words // block_words))
+    ranked = running_before(blocks, ["sid", "pass"], ["block"], None, digits, "rank")
+    ranked = keep_table(running_before(ranked, ["sid", "pass"], ["block"], "own", digits, "before"), "blocks")
+    drawn = (ranked.withColumn("words", F.when(F.col("pass") < F.col("passes"), F.col("own"))
+                               .otherwise(F.least("own", F.col("rest_words") - F.col("before"))))
+             .where("words > 0").withColumn("turn", F.col("pass") * F.col("n_own") + F.col("rank"))
+             .select("sid", "pass", "block", "words", "turn"))
+    return parts, drawn
+
+
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+        seed: int = SEED, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, pieces). ``rows``: every document row with size, source_size, target.
+    ``pieces``: doc_id, h, copy, size, shard, pass, block, lo, hi, place: the words
+    [lo, hi) of that row belong to the shard, in the order of ``place``. With ``whole`` that is always [0, size)."""
+    sized = keep_table(sized_rows(docs), "sizes")
+    targets = keep_table(_quotas(source_targets(sized), block_words), "targets")
+    n_rows, words = sized.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shards = max(MIN_SHARDS, 1 << max(0, -(-int(words) // shard_words) - 1).bit_length())
+    rows = sized.join(broadcast_if_small(targets.select("key", "sid", "source_size", "target")), "key")
+
+    laid = running_before(rows.withColumn("hash", F.md5(F.col("doc_id").cast("string"))), ["sid"], ["doc_id", "h", "copy"],
+                   "size", hex_digits(n_rows), "at")
+    parts, drawn = (_whole_blocks if whole else _word_blocks)(laid, targets, int(words), block_words)
 
     quotas = drawn.groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
     leaves = keep_table(split_quotas(quotas, shards.bit_length() - 1, seed), "leaves")
@@ -173,10 +203,14 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHAR
     turns = leaves.withColumn("first", first).select("sid", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("turn"))
     dealt = drawn.join(turns, ["sid", "turn"]).drop("turn")
 
-    pieces = (parts.join(dealt, ["sid", "block"]).withColumn("to", F.least("to", "words")).where("to > from")
-              .select("doc_id", "h", "copy", "size", "shard", "pass", "block",
-                      (F.col("block") * block_words + F.col("from") - F.col("at")).alias("lo"),
-                      (F.col("block") * block_words + F.col("to") - F.col("at")).alias("hi"))
+    pieces = parts.join(dealt, ["sid", "block"])
+    if whole:                                             # in or out by the document's middle
+        pieces = pieces.where("2 * from + size <= 2 * words").withColumn("lo", F.lit(0).cast("long")).withColumn("hi", F.col("size"))
+    else:
+        pieces = (pieces.withColumn("to", F.least("to", "words")).where("to > from")
+                  .withColumn("lo", F.col("block") * block_words + F.col("from") - F.col("at"))
+                  .withColumn("hi", F.col("block") * block_words + F.col("to") - F.col("at")))
+    pieces = (pieces.select("doc_id", "h", "copy", "size", "shard", "pass", "block", "lo", "hi")
               .withColumn("place", F.xxhash64(F.lit(seed), "shard", "pass", "block", "doc_id", "h", "copy")))
     return rows, pieces
 
@@ -192,21 +226,11 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The mix as documents: one row per document and pass that takes words of it,
-    with ``text`` whole when all its words are taken, else the taken words joined
-    by spaces, and ``n_chars`` (if there is one) counted anew."""
-    _, pieces = mix(docs, block_words)
-    taken = pieces.groupBy("doc_id", "h", "copy", "size", "pass").agg(
-        F.sum(F.col("hi") - F.col("lo")).alias("n"), F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("parts"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("copy").alias("_copy"),
-                         (F.col("n") == F.col("size")).alias("_whole"), F.col("parts").alias("_parts"))
+    """The mix as documents: one row, as it is in ``docs``, per document and pass that takes it. No document is cut."""
+    _, pieces = mix(docs, block_words, whole=True)
+    taken = pieces.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("copy").alias("_copy"))
     text = F.coalesce(F.col("text"), F.lit(""))
     d = (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
          .withColumn("_h", F.xxhash64(text, F.coalesce(F.col("source"), F.lit("")))))
     d = d.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_h").orderBy(F.lit(0))))
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform("_parts", lambda p: F.slice(words, (p["lo"] + 1).cast("int"), (p["hi"] - p["lo"]).cast("int")))), " ")
-    out = d.join(taken, ["_id", "_h", "_copy"]).withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return d.join(taken, ["_id", "_h", "_copy"]).select(*docs.columns)

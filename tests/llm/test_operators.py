@@ -257,3 +257,27 @@ def test_suffix_dedup_hot_passage(spark, monkeypatch):
     monkeypatch.setattr(S, "_bucket", bounded)
     got = S.suffix_dedup(docs, chunk_bytes=4000, per_shard=1000, bucket_records=20).collect()
     assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_removed"], bytes(r["kept"]).decode()) for r in got) == sorted(want)
+
+
+def test_mixed_documents_are_whole(docs, data, empty):
+    """Every row of the mix is a row of the documents; words per source are off the target by half a document at most."""
+    from collections import Counter
+
+    from ledgerline.llm.mixing import mixed_documents, taken_words
+    target = {(r["doc_id"], r["size"]): (r["source_size"], r["target"]) for r in taken_words(docs, 16).collect()}
+    given = Counter(tuple(r) for r in data)
+    for block in (16, 100, 4096):
+        got = Counter(tuple(r) for r in mixed_documents(docs, block).collect())
+        assert set(got) <= set(given) and got == Counter(tuple(r) for r in mixed_documents(docs.repartition(2), block).collect())
+        per = {}
+        for row, n in given.items():
+            size = len(words(row[1]))
+            per.setdefault(row[3], []).append((size, n, got[row], target[row[0], size]))
+        for source in per.values():
+            whole, (source_size, aim) = sum(s * n for s, n, _, _ in source), source[0][3]
+            assert whole == source_size
+            assert abs(sum(s * k for s, _, k, _ in source) - aim) <= max(s for s, _, _, _ in source) / 2 + 0.5
+            for s, n, k, _ in source:
+                passes = int(aim + 0.5) // whole if whole else 0
+                assert k == 0 if s == 0 else passes * n <= k <= (passes + 1) * n
+    assert mixed_documents(empty).count() == 0
