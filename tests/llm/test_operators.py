@@ -281,3 +281,13 @@ def test_mixed_documents_are_whole(docs, data, empty):
                 passes = int(aim + 0.5) // whole if whole else 0
                 assert k == 0 if s == 0 else passes * n <= k <= (passes + 1) * n
     assert mixed_documents(empty).count() == 0
+
+
+def test_jaccard_at_half_in_blocks(spark):
+    """A component larger than a block at 50 per cent: sizes that differ by two of the levels of 75 per cent still link."""
+    from ledgerline.llm.ngram_join import jaccard_groups
+    a = [f"w{i}" for i in range(24)]
+    given = [a, ["x", *a], [*a, *[f"v{i}" for i in range(18)]]]            # 20, 21 and 38 shingles, 20 of them common
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 0, 0, "x") for i, t in enumerate(given)], SCHEMA)
+    got = jaccard_groups(docs, percent=50, paired=1, block=2).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == [(0, 20, 0), (1, 21, 0), (2, 38, 0)]
