@@ -1,4 +1,4 @@
-"""Registered queries of this package (op1 ... op10) and their DuckDB SQL."""
+"""Registered queries of this package (op1 ... op13) and their DuckDB SQL."""
 
 from __future__ import annotations
 
@@ -69,9 +69,28 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each anchor's positives with their hardest negatives inside the score window."""
+    from ledgerline.llm.hard_negatives import hard_negatives
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every usable vector, with the exact squared deviation."""
+    from ledgerline.llm.whitening import whiten
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document."""
+    from ledgerline.llm.toxicity import score_toxicity
+    return score_toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {"op1_mix": op1_mix, "op2_pii": op2_pii, "op3_jaccard_join": op3_jaccard_join, "op4_exact_dedup": op4_exact_dedup,
            "op5_suffix_dedup": op5_suffix_dedup, "op6_pack": op6_pack, "op7_quality": op7_quality,
-           "op8_substring_dedup": op8_substring_dedup, "op9_secrets": op9_secrets, "op10_fingerprints": op10_fingerprints}
+           "op8_substring_dedup": op8_substring_dedup, "op9_secrets": op9_secrets, "op10_fingerprints": op10_fingerprints,
+           "op11_hard_negatives": op11_hard_negatives, "op12_whiten": op12_whiten, "op13_toxicity": op13_toxicity}
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -144,4 +163,17 @@ ORACLE = {
                CAST(coalesce(t.spans, 0) AS BIGINT) AS n_spans,
                sha256(unhex(coalesce(t.head, '') || substr(x, 2 * coalesce(t.last, 0) + 1))) AS kept_sha256
         FROM n LEFT JOIN t ON n.doc_id = t.doc_id""",
+    "op11_hard_negatives": """
+        WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+              FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }
