@@ -4,7 +4,8 @@ Words are compared by a gap-weighted subsequence kernel: a word is the vector of
 subsequences of three characters (its edges count as characters) that span at most ``SPAN``
 places, each weighing ``DECAY`` per character skipped; the kernel is the cosine of two such vectors,
 cubed. An insult with characters put in between, left out or added at its end keeps most of
-its subsequences. Letters set apart by blanks ("i d i o t") count as one word. A sentence is the sum of its words
+its subsequences. Characters that are no letters, digits or underscores are dropped from words before, and letters set
+apart by blanks ("i d i o t") count as one word. A sentence is the sum of its words
 in the kernel's space, approximated by ``LANDMARKS`` landmark words (Nystroem). Landmarks are
 picked from the words whose subsequences are commoner in toxic documents, by pivoted Cholesky steps, so that
 near forms of one word don't take several places.
@@ -29,6 +30,9 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import json
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,7 +55,7 @@ SENTENCE = 48                    # words of a sentence at most
 ROUNDS = 4
 FOLDS = 5
 PARTS = 4                        # of the training rows: each is judged by a machine of the others
-TRAIN_CHARS = 2_500_000
+TRAIN_CHARS = 1_500_000
 TRAIN_TEXT = 200_000
 KEPT_WORDS = 400_000             # word scores that a task keeps
 SLICE = 8192
@@ -62,30 +66,50 @@ OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.
 
 # ---------------------------------------------------------------- words and sentences
 
-def words_of(text: str) -> list[str]:
-    """Lower-cased words; runs of single characters are one word."""
+_STOP, _MARK, _NOISE = re.compile(r"[.!?]+(?=\s|$)"), "\x01", re.compile(r"[^\w\s\x01]+")
+
+
+def words_of(text: str) -> tuple[list[str], list[bool]]:
+    """Lower-cased words of letters, digits and underscores, what else stands inside a word dropped; runs of single
+    characters are one word, words above WORD characters are overlapping pieces. And whether each ends a sentence."""
     out: list[str] = []
+    ends: list[bool] = []
     run: list[str] = []
-    for w in text.lower().split():
+    for w in _NOISE.sub("", _STOP.sub(_MARK, text.lower())).split():
+        stop = w[-1] == _MARK
+        if stop:
+            w = w.replace(_MARK, "")
+            if not w:
+                if ends:
+                    ends[-1] = True
+                continue
         if len(w) == 1:
             run.append(w)
-            continue
+            if not stop:
+                continue
         if run:
-            out += ["".join(run)] if len(run) > 2 else run
+            joined = ["".join(run)] if len(run) > 2 else run
+            out += joined
+            ends += [False] * (len(joined) - 1) + [stop and len(w) == 1]
             run = []
-        out.append(w)
-    return out + (["".join(run)] if len(run) > 2 else run)
-
-
-def pieces(word: str) -> list[str]:
-    return [word] if len(word) <= WORD else [word[i:i + WORD] for i in range(0, len(word) - OVERLAP, WORD - OVERLAP)]
-
-
-def sentence_starts(words: list[str]) -> np.ndarray:
+        if len(w) > WORD:
+            parts = [w[i:i + WORD] for i in range(0, len(w) - OVERLAP, WORD - OVERLAP)]
+            out += parts
+            ends += [False] * (len(parts) - 1) + [stop]
+        elif len(w) > 1:
+            out.append(w)
+            ends.append(stop)
+    if run:
+        joined = ["".join(run)] if len(run) > 2 else run
+        out += joined
+        ends += [False] * len(joined)
+    return out, ends
+
+
+def sentence_starts(ends: list[bool]) -> np.ndarray:
     """Where sentences begin: after a word that ends one, and after SENTENCE words."""
-    n = len(words)
-    ends = np.fromiter((w[-1] in ".!?" for w in words), bool, n)
-    first = np.flatnonzero(np.r_[True, ends[:-1]])
+    n = len(ends)
+    first = np.flatnonzero(np.r_[True, np.array(ends[:-1], bool)])
     return np.concatenate([np.arange(a, b, SENTENCE) for a, b in zip(first, np.r_[first[1:], n])])
 
 
@@ -102,15 +126,15 @@ def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             ok = np.flatnonzero(own[:n] == own[a + b:])
             key = cp[ok] | (cp[ok + a] << U64(21)) | (cp[ok + a + b] << U64(42))
             keys.append((own[ok] << U64(44)) | (mix(key) >> U64(20)))
-            weights.append(np.full(len(ok), DECAY ** (a + b - 2)))
+            weights.append(np.full(len(ok), DECAY ** (a + b - 2), np.float32))
     keys, weights = np.concatenate(keys), np.concatenate(weights)
     order = np.argsort(keys)
     keys, weights = keys[order], weights[order]
     new = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
     weights = np.add.reduceat(weights, new) if len(new) else weights
     word = (keys[new] >> U64(44)).astype(np.int64)
-    norm = np.sqrt(np.bincount(word, weights ** 2, len(words)))
-    return word, keys[new] & U64((1 << 44) - 1), (weights / norm[word]).astype(np.float32)
+    norm = np.sqrt(np.bincount(word, weights ** 2, len(words))).astype(np.float32)
+    return word, keys[new] & U64((1 << 44) - 1), weights / norm[word]
 
 
 class Landmarks:
@@ -124,12 +148,16 @@ class Landmarks:
         self.first = np.append(self.first, len(key))
         self.word, self.weight = word[order], weight[order]
 
-    def kernel(self, vectors: tuple, n: int, power: int = POWER) -> np.ndarray:
+    def kernel(self, vectors: tuple, n: int, power: int = POWER, keys: np.ndarray | None = None) -> np.ndarray:
+        """``vectors`` as :func:`subsequences` gives them; with ``keys`` its subsequences are numbers of these."""
         word, key, weight = vectors
         m = len(self.words)
         out = np.zeros((n, m), np.float32)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = np.flatnonzero(self.keys[at] == key)
+        at = np.minimum(np.searchsorted(self.keys, key if keys is None else keys), len(self.keys) - 1)
+        same = self.keys[at] == (key if keys is None else keys)
+        if keys is not None:
+            at, same = at[key], same[key]
+        hit = np.flatnonzero(same)
         cuts = np.searchsorted(word[hit], np.arange(0, n + SLICE, SLICE))
         for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
             h = hit[lo:hi]
@@ -140,7 +168,8 @@ class Landmarks:
             part = out[k * SLICE:(k + 1) * SLICE]
             cell = (word[h][own] - k * SLICE) * m + self.word[to]
             part += np.bincount(cell, weight[h][own] * self.weight[to], part.size).reshape(part.shape)
-        return out ** power
+        np.power(out, power, out=out)
+        return out
 
 
 # ---------------------------------------------------------------- fitting
@@ -152,15 +181,19 @@ class Sample:
         seen: dict[str, int] = {}
         self.docs, self.starts = [], []
         for t in texts:
-            words = [p for w in words_of(t) for p in pieces(w)]
+            words, ends = words_of(t)
             self.docs.append(np.array([seen.setdefault(w, len(seen)) for w in words], np.int64))
-            self.starts.append(sentence_starts(words) if words else np.zeros(0, np.int64))
+            self.starts.append(sentence_starts(ends) if words else np.zeros(0, np.int64))
         self.words = list(seen)
-        parts = [subsequences(self.words[i:i + (1 << 16)]) for i in range(0, len(self.words), 1 << 16)]
-        self.vectors = tuple(np.concatenate(x) for x in zip(*[(w + (i << 16), k, v) for i, (w, k, v) in enumerate(parts)])) if parts else ()
-        keys, self.at = np.unique(self.vectors[1], return_inverse=True) if parts else (np.zeros(0), None)
-        self.n_keys = len(keys)
-        first = np.searchsorted(self.vectors[0], np.arange(len(self.words) + 1)) if parts else None
+        parts = [(w.astype(np.int32) + i, k, v) for i in range(0, len(self.words), SLICE) for w, k, v in [subsequences(self.words[i:i + SLICE])]]
+        word, key, self.weight = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int32), np.zeros(0, U64), np.zeros(0, np.float32))
+        del parts
+        self.word = word
+        self.keys, at = np.unique(key, return_inverse=True)
+        self.mass = np.bincount(word, self.weight, len(self.words))
+        self.at = at.astype(np.int32)                       # each word's subsequences by number
+        del key, at
+        first = np.searchsorted(self.word, np.arange(len(self.words) + 1))
         self.seen = []                                      # each document's subsequences and the part of its words that have them
         for d in map(np.unique, self.docs):
             found = np.concatenate([self.at[first[w]:first[w + 1]] for w in d]) if len(d) else np.zeros(0, np.int64)
@@ -170,13 +203,13 @@ class Sample:
         self.stratum = np.searchsorted(np.quantile(size, np.linspace(0, 1, STRATA + 1)[1:-1]), size)
 
     def kernel(self, marks: Landmarks) -> np.ndarray:
-        return marks.kernel(self.vectors, len(self.words))
+        return marks.kernel((self.word, self.at, self.weight), len(self.words), keys=self.keys)
 
 
 def excess(sample: Sample, toxic: np.ndarray, use: np.ndarray) -> np.ndarray:
     """How much commoner than by chance each word's subsequences are in toxic documents: the mean of score
     statistics (the part of a document's words that have the subsequence, against documents of like length)."""
-    over, var = np.zeros(sample.n_keys), np.full(sample.n_keys, 1e-6)
+    over, var = np.zeros(len(sample.keys)), np.full(len(sample.keys), 1e-6)
     for c in range(STRATA):
         own = np.flatnonzero(use & (sample.stratum == c))
         p = toxic[own].mean() if len(own) else 0
@@ -184,8 +217,12 @@ def excess(sample: Sample, toxic: np.ndarray, use: np.ndarray) -> np.ndarray:
             key, part = sample.seen[i]
             over[key] += (toxic[i] - p) * part
             var[key] += p * (1 - p) * part ** 2
-    word, _, weight = sample.vectors
-    return np.bincount(word, weight * (over / np.sqrt(var))[sample.at], len(sample.words)) / np.bincount(word, weight, len(sample.words))
+    word, weight = sample.word, sample.weight
+    z, total = (over / np.sqrt(var)).astype(np.float32), np.zeros(len(sample.words))
+    for lo in range(0, len(word), 1 << 20):
+        part = slice(lo, lo + (1 << 20))
+        total += np.bincount(word[part], weight[part] * z[sample.at[part]], len(total))
+    return total / sample.mass
 
 
 def pick_landmarks(sample: Sample, toxic: np.ndarray, use: np.ndarray) -> Landmarks:
@@ -265,19 +302,22 @@ class Machine:
         self.beta, self.bias = (root @ w[:-1]).astype(np.float32), float(w[-1])
 
     def shares(self, words: list[str]) -> np.ndarray:
-        return np.concatenate([self.marks.kernel(subsequences(words[i:i + SLICE]), len(words[i:i + SLICE])) @ self.beta
+        # sums row by row: a word's share doesn't depend on the words beside it
+        return np.concatenate([(self.marks.kernel(subsequences(words[i:i + SLICE]), len(words[i:i + SLICE])) * self.beta).sum(axis=1)
                                for i in range(0, len(words), SLICE)]) if words else np.zeros(0)
 
 
-def evidence(share: np.ndarray, starts: np.ndarray, bias: float) -> np.ndarray:
-    """What the logistic function sees of a document, given its words' shares."""
+def evidence(share: np.ndarray, starts: np.ndarray, bias: float, longest: int) -> np.ndarray:
+    """What the logistic function sees of a document, given its words' shares. A document of more than ``longest``
+    words (more than the function was fitted on) counts like one of so many words with as many toxic ones in a thousand."""
     if len(share) == 0:
         return np.array([bias, 0, 0, 0, 0, 0, 0, 0.0])
     top = np.sort(np.partition(share, max(len(share) - 4, 0))[-4:])[::-1]
     top = np.maximum(np.r_[top, np.zeros(4 - len(top))], 0)
-    whole = np.maximum(share - 0.25, 0).sum()
+    n = min(len(share), longest)
+    whole = np.log1p(np.maximum(share - 0.25, 0).sum() * n / len(share))
     lines = np.add.reduceat(share, starts) + bias
-    return np.array([np.clip(lines.max(), -3, 3), *np.minimum(top, 2), np.log1p(whole), np.log1p(len(share)), np.log1p(whole) / np.log(3 + len(share))])
+    return np.array([np.clip(lines.max(), -3, 3), *np.minimum(top, 2), whole, np.log1p(n), whole / np.log(3 + n)])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -308,30 +348,50 @@ class Model:
         part = np.zeros(len(toxic), int)                        # each class dealt to the parts in turn
         for c in (True, False):
             part[toxic == c] = np.arange((toxic == c).sum()) % PARTS
+        self.longest = max(map(len, sample.docs))
         x = np.zeros((len(toxic), 8))
         for k in range(PARTS):
             use = part != k
             m = Machine(sample, toxic, use if toxic[use].any() and not toxic[use].all() else np.ones(len(toxic), bool))
             share = sample.kernel(m.marks) @ m.beta
             for i in np.flatnonzero(~use):
-                x[i] = evidence(share[sample.docs[i]], sample.starts[i], m.bias)
+                x[i] = evidence(share[sample.docs[i]], sample.starts[i], m.bias, self.longest)
         self.mean, self.spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
         self.weights = logistic((x - self.mean) / self.spread, toxic.astype(float),
                                 np.where(toxic, self.prior / drawn, (1 - self.prior) / (1 - drawn)))
         self.machine = Machine(sample, toxic, np.ones(len(toxic), bool))
 
+    def state(self) -> dict:
+        """What scoring needs, as plain lists and numbers."""
+        if self.machine is None:
+            return {"prior": self.prior}
+        m = self.machine
+        return {"prior": self.prior, "words": m.marks.words, "beta": m.beta.tolist(), "bias": m.bias, "mean": self.mean.tolist(),
+                "spread": self.spread.tolist(), "weights": self.weights.tolist(), "longest": self.longest}
+
+    @classmethod
+    def of(cls, state: dict) -> "Model":
+        new = cls.__new__(cls)
+        new.prior, new.machine = state["prior"], None
+        if "words" in state:
+            new.machine = Machine.__new__(Machine)
+            new.machine.marks, new.machine.beta, new.machine.bias = Landmarks(state["words"]), np.array(state["beta"], np.float32), state["bias"]
+            new.mean, new.spread, new.weights = (np.array(state[k]) for k in ("mean", "spread", "weights"))
+            new.longest = state["longest"]
+        return new
+
     def score(self, texts: list[str], kept: dict[str, float]) -> np.ndarray:
         if self.machine is None:
             return np.full(len(texts), self.prior)
-        lists = [[p for w in words_of(t) for p in (pieces(w) if len(w) > WORD else (w,))] for t in texts]
-        new = list({w for ws in lists for w in ws if w not in kept})
+        lists = [words_of(t) for t in texts]
+        new = list({w for ws, _ in lists for w in ws if w not in kept})
         if len(kept) + len(new) > KEPT_WORDS:
             kept.clear()
-            new = list({w for ws in lists for w in ws})
+            new = list({w for ws, _ in lists for w in ws})
         kept.update(zip(new, self.machine.shares(new).tolist()))
-        x = np.array([evidence(np.fromiter(map(kept.__getitem__, ws), float, len(ws)), sentence_starts(ws) if ws else None, self.machine.bias)
-                      for ws in lists]).reshape(len(texts), 8)
-        z = (x - self.mean) / self.spread @ self.weights[:-1] + self.weights[-1]
+        x = np.array([evidence(np.fromiter(map(kept.__getitem__, ws), float, len(ws)), sentence_starts(ends) if ws else None, self.machine.bias, self.longest)
+                      for ws, ends in lists]).reshape(len(texts), 8)
+        z = ((x - self.mean) / self.spread * self.weights[:-1]).sum(axis=1) + self.weights[-1]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -341,28 +401,34 @@ def _held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]], float]:
-    """A bounded sample of labelled rows outside the held-out fold, (text, toxic), and the share of toxic ones among them all."""
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """The model of a bounded sample of the labelled rows outside the held-out fold, fitted in one task."""
     marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("doc_id IS NOT NULL AND toxic IN (0, 1)").filter(~_held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .filter(F.length("text") <= TRAIN_TEXT)
     sized = texts.select("doc_id", F.length("text").alias("size")).join(marks, "doc_id")
     found = {r["toxic"]: r for r in sized.groupBy("toxic").agg(F.sum("size").alias("chars"), F.count(F.lit(1)).alias("rows")).collect()}
-    if not found:
-        return [], 0.0
+    prior = (found[1]["rows"] if 1 in found else 0) / max(sum(r["rows"] for r in found.values()), 1)
+    if len(found) < 2:
+        return Model.of({"prior": prior})
     rate = F.lit(0.0)
     for c, r in found.items():
         rate = F.when(F.col("toxic") == c, F.lit(min(1.0, TRAIN_CHARS / max(r["chars"], 1)))).otherwise(rate)
     chosen = marks.filter(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) < rate * (1 << 20))
-    rows = texts.join(broadcast_if_small(chosen), "doc_id").select("doc_id", "text", "toxic").collect()   # bounded by TRAIN_CHARS
-    prior = (found[1]["rows"] if 1 in found else 0) / sum(r["rows"] for r in found.values())
-    return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))], prior
+    sample = texts.join(broadcast_if_small(chosen), "doc_id").select("doc_id", "text", "toxic")
+
+    def train(batches):
+        rows = sorted((r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist())    # bounded by TRAIN_CHARS
+        model = Model([t for _, t, _ in rows], [bool(y) for _, _, y in rows], prior)
+        yield pa.RecordBatch.from_pydict({"model": [json.dumps(model.state())]})
+
+    return Model.of(json.loads(sample.repartition(1).mapInArrow(train, "model string").first()["model"]))
 
 
-def _score(model):
+def _score(state: dict):
     def run(batches):
-        fitted, kept = model.value, {}
+        fitted, kept = Model.of(state), {}
         for batch in batches:
             ids, out = batch.column("doc_id"), batch.column("held_out")
             texts, size = [], 0
@@ -379,8 +445,7 @@ def _score(model):
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
-    rows, prior = training_rows(docs, labels)
-    model = docs.sparkSession.sparkContext.broadcast(Model([t for t, _ in rows], [bool(y) for _, y in rows], prior))   # LANDMARKS words
+    state = fit(docs, labels).state()                            # LANDMARKS words and a number for each
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("held_out", _held_out())
-    return data.mapInArrow(_score(model), ddl(OUT))
+    return data.mapInArrow(_score(state), ddl(OUT))
 
