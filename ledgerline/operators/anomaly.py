@@ -11,10 +11,11 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.broadcast import broadcast_if_small
+from ledgerline.functions.broadcast import broadcast_if_small, materialize
+from ledgerline.functions.exprs import finite
 from ledgerline.functions.quantiles import group_quantiles
-from ledgerline.operators.cleaning import clean_prices
-from ledgerline.operators.features import (anomaly_features, group_fences, group_zscore,
+from ledgerline.operators.cleaning import clean_prices, one_row_fill
+from ledgerline.operators.features import (anomaly_features, calendar_features, group_fences, group_zscore,
                                            series_parameters)
 
 # Fixed values of the application
@@ -167,17 +168,49 @@ def score_new_data(new: DataFrame, state: dict, keys: Sequence[str] = ("asset",)
     keys = list(keys)
     data = anomaly_features(clean_prices(new, as_date=as_date), keys)
     if mode == "frozen":
-        data = detect_iqr(data, keys, fences=state["fences"])
-        st = broadcast_if_small(state["moments"])
-        data = data.join(st, keys, "left")
-        z = F.when((F.col("_std") == 0) | F.col("_std").isNull(), F.lit(0.0)) \
-             .otherwise((F.col("price") - F.col("_mean")) / F.col("_std"))
-        data = data.withColumn("price_z_score", z) \
-                   .withColumn("is_anomaly_zscore", F.abs(F.col("price_z_score")) > Z_THRESHOLD) \
-                   .drop("_mean", "_std")
-    else:
-        data = detect_iqr_zscore(data, keys)
+        return apply_state(data, state, keys)
+    return _combine_with_forest(detect_iqr_zscore(data, keys), state, keys)
+
+
+def apply_state(data: DataFrame, state: dict, keys: Sequence[str] = ("asset",)) -> DataFrame:
+    """Flags of feature rows by saved state alone: fences, moments, and where saved the medians that stand in for
+    missing features and the forest."""
+    keys = list(keys)
+    if state.get("fills") is not None:
+        cols = [c[len("_fill_"):] for c in state["fills"].columns if c[len("_fill_"):] in data.columns]
+        data = one_row_fill(data.withColumns({c: finite(F.col(c)) for c in cols}), state["fills"], cols).fillna(0, subset=cols)
+    data = detect_iqr(data, keys, fences=state["fences"])
+    data = data.join(broadcast_if_small(state["moments"]), keys, "left")
+    z = F.when((F.col("_std") == 0) | F.col("_std").isNull(), F.lit(0.0)) \
+         .otherwise((F.col("price") - F.col("_mean")) / F.col("_std"))
+    data = data.withColumn("price_z_score", z) \
+               .withColumn("is_anomaly_zscore", F.abs(F.col("price_z_score")) > Z_THRESHOLD) \
+               .drop("_mean", "_std")
+    return _combine_with_forest(data, state, keys)
+
+
+def _combine_with_forest(data: DataFrame, state: dict, keys: list[str]) -> DataFrame:
     if state.get("forest") is not None:
         from ledgerline.operators.iforest import score_with_forest
         data = score_with_forest(data, state["forest"], keys)
     return combine_flags(data)
+
+
+def fit_state(history: DataFrame, keys: Sequence[str] = ("asset",), forest: bool = True, seed: int = 42, n_trees: int = 200,
+              contamination: float = CONTAMINATION) -> dict:
+    """State for :func:`score_new_data` and the stream, fitted on cleaned history: fences, moments, medians of
+    features that can be missing, and the forest."""
+    from ledgerline.operators.features import LAGS, WINDOWS, nullable_columns, series_features
+    from ledgerline.operators.cleaning import column_medians
+    keys = list(keys)
+    params = series_parameters(history, keys, "price", IQR_MULTIPLIER)
+    raw = series_features(history, keys, ("date", "row_id"), "price", lags=LAGS, windows=WINDOWS, volatility=True)
+    raw = materialize(calendar_features(raw), "state-features")
+    cols = nullable_columns("price", LAGS, WINDOWS, True)
+    fills = column_medians(raw.withColumns({c: finite(F.col(c)) for c in cols}), cols)
+    state = {"fences": params.drop("_mean", "_std"), "moments": params.select(*keys, "_mean", "_std"), "fills": fills}
+    if forest:
+        from ledgerline.operators.iforest import detect_isolation_forest
+        rows = one_row_fill(raw, fills, cols).fillna(0, subset=cols)
+        state["forest"] = detect_isolation_forest(rows, keys, seed=seed, n_trees=n_trees, contamination=contamination, return_state=True)[1]
+    return state

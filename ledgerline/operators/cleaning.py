@@ -160,7 +160,7 @@ def remove_invalid_rows(df: DataFrame, columns: Sequence[str] = NON_NEGATIVE) ->
     return df.filter(cond)
 
 
-def _one_row_fill(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
+def one_row_fill(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
     """coalesce each column with the value of the one-row ``fills`` table."""
     types = dict(df.dtypes)
     j = df.crossJoin(F.broadcast(fills))  # one row: size bound is 1
@@ -187,7 +187,7 @@ def impute_numeric(df: DataFrame, strategy: str = "median",
         fills = df.agg(*[F.avg(c).alias(f"_fill_{c}") for c in cols])
     else:
         fills = column_medians(df, cols)
-    return _one_row_fill(df, fills, cols)
+    return one_row_fill(df, fills, cols)
 
 
 def column_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -212,7 +212,7 @@ def impute_categorical(df: DataFrame, strategy: str = "mode",
         return df
     if strategy == "unknown":
         return df.fillna(UNKNOWN, subset=cols)
-    return _one_row_fill(df, column_modes(df, cols), cols)
+    return one_row_fill(df, column_modes(df, cols), cols)
 
 
 # C15
@@ -315,7 +315,7 @@ def fill_feature_nulls(df: DataFrame, columns: Sequence[str] | None = None,
     # materialize the feature table once instead of recomputing its windows
     df = df.withColumns({c: finite(F.col(c)) for c in cols}).persist(StorageLevel.MEMORY_AND_DISK)
     fills = column_medians(df, cols)
-    out = _one_row_fill(df, fills, cols).fillna(0, subset=cols)
+    out = one_row_fill(df, fills, cols).fillna(0, subset=cols)
     return (out, fills) if return_fills else out
 
 

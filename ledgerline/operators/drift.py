@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ BINS = 10
 EPSILON = 1e-6
 MISSING = "missing"
 KS_TERMS = 100
+EXACT_KS_ROWS = 10_000   # the size up to which the application's library is exact too
 
 
 def long_numeric(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -95,7 +97,7 @@ def psi_table(long: DataFrame, bins: int = BINS, epsilon: float = EPSILON) -> Da
 # X3
 def ks_table(long: DataFrame) -> DataFrame:
     """Two-sample KS statistic per feature (max |F_ref - F_cur| over the
-    merged values) and the asymptotic Kolmogorov p-value."""
+    merged values) and its p-value: exact where neither sample has more than ``EXACT_KS_ROWS`` values, asymptotic above."""
     vals = long.filter(F.col("value").isNotNull())
     per = vals.groupBy("feature", "value").agg(
         F.count_if(F.col("sample") == "ref").alias("w_ref"), F.count_if(F.col("sample") == "cur").alias("w_cur"))
@@ -112,7 +114,35 @@ def ks_table(long: DataFrame) -> DataFrame:
                          lambda acc, k: acc + 2 * F.pow(F.lit(-1.0), k - 1) * F.exp(-2 * k * k * lam * lam))
     p = F.when(F.col("ks_statistic") == 0, F.lit(1.0)).when(
         F.col("ks_statistic").isNotNull(), F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
-    return stat.select("feature", "ks_statistic", p.alias("ks_p_value"), "n_ref", "n_cur")
+    small = F.greatest("n_ref", "n_cur") <= EXACT_KS_ROWS
+    exact = exact_ks_p_value(F.when(small, F.col("ks_statistic")), F.col("n_ref"), F.col("n_cur"))   # one row per feature
+    return stat.select("feature", "ks_statistic", F.when(small, exact).otherwise(p).alias("ks_p_value"), "n_ref", "n_cur")
+
+
+def ks_exact(stat: float, n: int, m: int) -> float:
+    """P(D >= stat) for two samples of n and m values without ties: the share of lattice paths from (0, 0) to (n, m) that
+    touch |i/n - j/m| >= stat. ``b`` goes from one anti-diagonal to the next; a path to (i, j) came from
+    (i - 1, j) with probability i / (i + j)."""
+    h = round(stat * n * m)                                   # the statistic is a whole number of 1/(n m)
+    if h <= 0:
+        return 1.0
+    b = np.zeros(1)                                           # places (i, s - i), i from lo
+    lo = 0
+    for s in range(1, n + m + 1):
+        low, high = max(0, s - m), min(n, s)
+        i = np.arange(low, high + 1)
+        wide = np.zeros(high - low + 3)                       # the last diagonal at i - 1 .. i
+        at = lo - (low - 1)
+        wide[at:at + len(b)] = b
+        b = (i * wide[:len(i)] + (s - i) * wide[1:len(i) + 1]) / s
+        b[np.abs(i * m - (s - i) * n) >= h] = 1.0
+        lo = low
+    return float(min(b[0], 1.0))
+
+
+@F.pandas_udf(T.DoubleType())
+def exact_ks_p_value(stat: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(d) or not a or not b else ks_exact(float(d), int(a), int(b)) for d, a, b in zip(stat, n, m)], dtype=float)
 
 
 def _gammaincc(a: float, x: float) -> float:

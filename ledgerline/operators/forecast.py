@@ -59,26 +59,25 @@ def with_best_prediction(backtest: DataFrame, models: Sequence[str] = PREDICTION
 # Model-based forecasts
 # ---------------------------------------------------------------------------
 
-import math  # noqa: E402
-
 import numpy as np  # noqa: E402
 import pandas as pd  # noqa: E402
 from pyspark.ml.feature import VectorAssembler  # noqa: E402
-from pyspark.ml.regression import (GBTRegressor, LinearRegression,  # noqa: E402
-                                   RandomForestRegressor)
+from pyspark.ml.regression import LinearRegression  # noqa: E402
 from pyspark.sql import Column  # noqa: E402
 
 from ledgerline.functions.broadcast import broadcast_if_small, materialize  # noqa: E402
+from ledgerline.functions.price_windows import changes, rolling  # noqa: E402
+from ledgerline.operators.autoregression import AR_ORDER, fit_ar  # noqa: E402
 from ledgerline.operators.features import (MODEL_LAGS, WINDOWS, minmax_scale,  # noqa: E402
                                            model_features, regular_calendar)
-from ledgerline.operators.splits import series_split  # noqa: E402
+from ledgerline.operators.seasonal import fit_seasonal, seasonal_forecast  # noqa: E402
+from ledgerline.operators.splits import MIN_SERIES_ROWS  # noqa: E402
+from ledgerline.operators.trees import (Boosting, BoostedTrees, bin_edges, binned_chunks, fit_boosted,  # noqa: E402
+                                        grow_forest, score_forest)
 
 # Fixed values of the application
 HORIZON = 30
 SEQ_LEN = 10
-AR_ORDER = 5
-YEARLY_ORDER, WEEKLY_ORDER = 10, 3
-INTERVAL_Z = 1.2815515655446004  # two-sided 80% normal interval
 CHECKPOINT_EVERY = 1  # state is one row per series: cut lineage every step
 MODEL_NAMES = ["xgboost", "arima", "prophet", "lstm"]
 NON_FEATURES = {"date", "asset", "price", "row_id", "split"}
@@ -96,28 +95,37 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 # F3 / F4 / F5
-def fit_regressor(train: DataFrame, features: Sequence[str], kind: str = "gbt", seed: int = 42,
-                  **params):
-    """Spark ML regressor on the distributed feature table (all assets, one model)."""
-    data = _assembled(train, features)
+def fit_regressor(train: DataFrame, features: Sequence[str], kind: str = "gbt", **params):
+    """A model of the distributed feature table (all assets, one model): ``linear`` (Spark ML), ``gbt`` or
+    ``forest`` (histogram trees, see :mod:`ledgerline.operators.trees`)."""
     if kind == "linear":
-        est = LinearRegression(featuresCol="features", labelCol="price", regParam=0.0,
-                               **({"solver": "normal"} | params))
-    elif kind == "forest":
-        # model settings of the application (300 trees, unlimited depth -> Spark's
-        # cap of 30); maxMemoryInMB/cacheNodeIds only change how many nodes one
-        # pass over the data splits and how node ids travel, not the model
-        est = RandomForestRegressor(featuresCol="features", labelCol="price", seed=seed,
-                                    **({"numTrees": 300, "maxDepth": 30, "maxMemoryInMB": 1024,
-                                        "cacheNodeIds": True} | params))
-    else:
-        est = GBTRegressor(featuresCol="features", labelCol="price", seed=seed,
-                           **({"maxIter": 300, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.9,
-                               "featureSubsetStrategy": "0.9"} | params))
-    return est.fit(data)
+        est = LinearRegression(featuresCol="features", labelCol="price", regParam=0.0, **({"solver": "normal"} | params))
+        return est.fit(_assembled(train, features))
+    if kind == "forest":
+        return fit_forest(train, features, **params)
+    return fit_boosted(train, features, p=Boosting(**params))
+
+
+class Forest:
+    """A fitted forest: its parts stay a stored table."""
+
+    def __init__(self, features, edges, parts: DataFrame, trees: int):
+        self.features, self.edges, self.parts, self.trees = list(features), edges, parts, trees
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return score_forest(self.parts, df, self.features, self.edges, self.trees)
+
+
+def fit_forest(train: DataFrame, features: Sequence[str], trees: int = 300, depth: int = 64, seed: int = 42) -> Forest:
+    """Settings of the application: 300 trees, unlimited depth (64 levels here, more than halving a table ever needs), all features."""
+    edges = bin_edges(train, features)
+    chunks = binned_chunks(train, features, "price", edges)
+    return Forest(features, edges, grow_forest(chunks, len(edges), trees, depth, seed), trees)
 
 
 def predict(model, df: DataFrame, features: Sequence[str], out: str = "predicted_price") -> DataFrame:
+    if isinstance(model, (BoostedTrees, Forest)):
+        return model.transform(df).withColumn(out, clip0(F.col("prediction"))).drop("prediction")
     pred = model.transform(_assembled(df, features)).withColumn(out, clip0(F.col("prediction")))
     return pred.drop("features", "prediction")
 
@@ -135,8 +143,9 @@ def model_backtest(df: DataFrame, kind: str = "gbt", test_size: float = TEST_SIZ
 
 # M12
 def feature_importance(model, features: Sequence[str], spark, top_n: int | None = None) -> DataFrame:
-    """The fitted model's importances (a vector of one weight per feature)."""
-    imp = model.featureImportances.toArray().tolist()
+    """The fitted model's importances (one weight per feature: its share of all gains)."""
+    own = model.importances()
+    imp = [own[f] for f in features]
     df = spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
     ordered = df.orderBy(F.col("importance").desc(), "feature")
     return ordered.limit(top_n) if top_n else ordered
@@ -213,6 +222,8 @@ def recursive_forecast(history: DataFrame, model, features: Sequence[str], horiz
     state = st.join(hist, keys).select(*keys, F.col("last_date").cast("date").alias("last_date"),
                                        F.transform("_h", lambda x: x["price"]).alias("hist"),
                                        (F.col("_n") < keep).alias("complete"))
+    if isinstance(model, BoostedTrees):
+        return _advance(state, model, medians, horizon, keys, keep).withColumn("model_name", F.lit(model_name))
     assets = [c[len("asset_"):] for c in features if c.startswith("asset_")]
     if medians is None:
         medians = history.sparkSession.createDataFrame([(0.0,)], "_fill_none double")
@@ -235,6 +246,47 @@ def recursive_forecast(history: DataFrame, model, features: Sequence[str], horiz
     return _union(outputs).withColumn("model_name", F.lit(model_name))
 
 
+def _advance(state: DataFrame, model: BoostedTrees, medians: DataFrame | None, horizon: int, keys: list[str], keep: int) -> DataFrame:
+    """All steps of all series in one pass: a series' next days depend on its own bounded tail and the model alone, so
+    every task advances its series together, without a job per step."""
+    fills = {k[len("_fill_"):]: v for k, v in medians.first().asDict().items()} if medians is not None else {}   # one row
+    names = model.features
+
+    def step_features(pdf: pd.DataFrame, prices: np.ndarray, dates: pd.DatetimeIndex) -> np.ndarray:
+        seq = np.concatenate([prices, prices[:, -1:]], axis=1)         # the new day carries the last price as a placeholder
+        change = changes(seq)
+        cols = {"daily_return": change[:, -1], "year": dates.year, "month": dates.month, "quarter": dates.quarter, "day": dates.day,
+                "day_of_week": dates.dayofweek, "week_of_year": dates.isocalendar().week.to_numpy(float), "is_month_start": dates.is_month_start,
+                "is_month_end": dates.is_month_end, "is_quarter_start": dates.is_quarter_start, "is_quarter_end": dates.is_quarter_end}
+        cols |= {f"price_lag_{k}": seq[:, -1 - k] for k in MODEL_LAGS}
+        for n in WINDOWS:
+            cols |= {f"price_rolling_mean_{n}": rolling(seq[:, -n:], n, False)[:, -1], f"price_rolling_std_{n}": rolling(seq[:, -n:], n, True)[:, -1],
+                     f"return_rolling_volatility_{n}": rolling(change[:, -n:], n, True)[:, -1]}
+        own = pdf[keys[0]].astype(str)
+        x = np.column_stack([(own == c[len("asset_"):]).to_numpy(float) if c not in cols else np.asarray(cols[c], float) for c in names])
+        for j, c in enumerate(names):
+            bad = ~np.isfinite(x[:, j])
+            x[bad, j] = fills.get(c) or 0.0
+        return x
+
+    def run(frames):
+        for pdf in frames:
+            if not len(pdf):
+                continue
+            prices = np.full((len(pdf), keep), np.nan)
+            for i, h in enumerate(pdf["hist"]):
+                prices[i, keep - len(h):] = h
+            dates = pd.DatetimeIndex(pd.to_datetime(pdf["last_date"]))
+            for step in range(1, horizon + 1):
+                dates = dates + pd.Timedelta(days=1)
+                y = np.maximum(model.predict(step_features(pdf, prices, dates)), 0.0)
+                prices = np.concatenate([prices[:, 1:], y[:, None]], axis=1)
+                yield pdf[keys].assign(date=dates.date, forecasted_price=y, step=step)
+    types = dict(state.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", date date, forecasted_price double, step int"
+    return state.select(*keys, "last_date", "hist").mapInPandas(run, schema)
+
+
 def _union(frames):
     out = frames[0]
     for f in frames[1:]:
@@ -249,39 +301,7 @@ def _last_rows(df: DataFrame, keys: Sequence[str], pos: str, n: int) -> DataFram
     return df.join(broadcast_if_small(mx), list(keys)).filter(F.col(pos) > F.col("_mx") - n).drop("_mx")
 
 
-# AR(p) on the differenced regular daily series (re-aim of ARIMA(p,1,0))
-def _solve_udf(k: int, ridge: float = 0.0):
-    @F.pandas_udf("array<double>")
-    def solve(xtx: pd.Series, xty: pd.Series) -> pd.Series:
-        out = []
-        for a, b in zip(xtx, xty):
-            A = np.asarray(a, dtype=float).reshape(k, k)
-            y = np.asarray(b, dtype=float)
-            A = A + ridge * np.eye(k)
-            try:
-                beta = np.linalg.solve(A, y)
-            except np.linalg.LinAlgError:
-                beta = np.linalg.lstsq(A, y, rcond=None)[0]
-            out.append(beta.tolist())
-        return pd.Series(out)
-    return solve
-
-
-def gram_sums(df: DataFrame, keys: Sequence[str], x: str, y: str, k: int) -> DataFrame:
-    """Per series: X'X (k*k, row-major), X'y and y'y, n - summed with
-    map-side combine from per-row outer products (no series is gathered)."""
-    keys = list(keys)
-    cells = df.select(*keys, F.posexplode(F.concat(
-        F.flatten(F.transform(F.col(x), lambda a: F.transform(F.col(x), lambda b: a * b))),
-        F.transform(F.col(x), lambda a: a * F.col(y)),
-        F.array(F.col(y) * F.col(y), F.lit(1.0)))).alias("_i", "_v"))
-    sums = cells.groupBy(*keys, "_i").agg(F.sum("_v").alias("_s"))
-    arr = sums.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_i", "_s"))).alias("_a"))
-    vals = F.transform("_a", lambda e: e["_s"])
-    return arr.select(*keys, F.slice(vals, 1, k * k).alias("xtx"), F.slice(vals, k * k + 1, k).alias("xty"),
-                      F.element_at(vals, k * k + k + 1).alias("yty"), F.element_at(vals, k * k + k + 2).alias("n"))
-
-
+# AR(p) on the differenced regular daily series (ARIMA(p,1,0)); the fit is in operators/autoregression.py
 def ar_design(df: DataFrame, keys: Sequence[str] = ("asset",), order: int = AR_ORDER) -> DataFrame:
     """Regular daily series -> rows (x = [1, d_{t-1}..d_{t-p}], y = d_t)."""
     from ledgerline.functions.sequence import bounded_window
@@ -297,21 +317,16 @@ def ar_design(df: DataFrame, keys: Sequence[str] = ("asset",), order: int = AR_O
                        F.col("_d").alias("y"))
 
 
-def fit_ar(df: DataFrame, keys: Sequence[str] = ("asset",), order: int = AR_ORDER) -> DataFrame:
-    """Conditional least squares AR(order) with intercept on first differences."""
-    k = order + 1
-    g = gram_sums(ar_design(df, keys, order), keys, "x", "y", k)
-    return g.withColumn("coef", _solve_udf(k)(F.col("xtx"), F.col("xty")))
-
-
-def ar_forecast(df: DataFrame, coef: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON,
-                order: int = AR_ORDER) -> DataFrame:
-    """h-step recursion y_{T+h} = y_{T+h-1} + c + sum phi_i d_{T+h-i}, clipped at 0."""
+def ar_forecast(df: DataFrame, coef: DataFrame, keys: Sequence[str] = ("asset",), horizon: int | Column = HORIZON,
+                order: int = AR_ORDER, regular: DataFrame | None = None) -> DataFrame:
+    """h-step recursion y_{T+h} = y_{T+h-1} + c + sum phi_i d_{T+h-i}, clipped at 0. ``horizon``: a number, or a
+    column of ``coef`` (steps of each series)."""
     keys = list(keys)
-    reg = _last_rows(regular_calendar(df, keys), keys, "day_index", order + 1)
+    reg = _last_rows(regular if regular is not None else regular_calendar(df, keys), keys, "day_index", order + 1)
+    coef = coef.withColumn("_steps", (F.lit(horizon) if isinstance(horizon, int) else horizon).cast("int")).filter("_steps > 0")
     last = reg.groupBy(*keys).agg(F.max("date").alias("_t"),
                                   F.sort_array(F.collect_list(F.struct("day_index", "price"))).alias("_tail"))
-    j = last.join(broadcast_if_small(coef.select(*keys, "coef")), keys)
+    j = last.join(broadcast_if_small(coef.select(*keys, "coef", "_steps")), keys)
     ys = F.transform("_tail", lambda e: e["price"])
     diffs = F.transform(F.sequence(F.lit(2), F.size(ys)), lambda i: F.element_at(ys, i) - F.element_at(ys, i - 1))
     init = F.struct(diffs.alias("d"), F.element_at(ys, -1).alias("y"), F.array().cast("array<double>").alias("out"))
@@ -324,55 +339,12 @@ def ar_forecast(df: DataFrame, coef: DataFrame, keys: Sequence[str] = ("asset",)
         y = acc["y"] + nxt
         return F.struct(F.slice(F.concat(d, F.array(nxt)), -order, order).alias("d"), y.alias("y"),
                         F.concat(acc["out"], F.array(F.greatest(y, F.lit(0.0)))).alias("out"))
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), init, step)
+    path = F.aggregate(F.sequence(F.lit(1), F.col("_steps")), init, step)
     out = j.select(*keys, "_t", F.posexplode(path["out"]).alias("_h", "forecasted_price"))
     return out.select(*keys, F.date_add("_t", F.col("_h") + 1).alias("date"), "forecasted_price",
                       (F.col("_h") + 1).alias("step"), F.lit("arima").alias("model_name"))
 
 
-# F8: additive trend + yearly/weekly seasonality per series (re-aim of Prophet)
-def _season_terms(t: Column) -> list[Column]:
-    terms = [F.lit(1.0), t / 365.25]
-    for period, order in ((365.25, YEARLY_ORDER), (7.0, WEEKLY_ORDER)):
-        for k in range(1, order + 1):
-            terms += [F.sin(2 * math.pi * k * t / period), F.cos(2 * math.pi * k * t / period)]
-    return terms
-
-
-def fit_seasonal(df: DataFrame, keys: Sequence[str] = ("asset",), ridge: float = 1e-6) -> DataFrame:
-    keys = list(keys)
-    reg = regular_calendar(df, keys)
-    t = (F.col("day_index") - 1).cast("double")
-    x = reg.select(*keys, F.array(*_season_terms(t)).alias("x"), F.col("price").alias("y"))
-    k = 2 + 2 * (YEARLY_ORDER + WEEKLY_ORDER)
-    g = gram_sums(x, keys, "x", "y", k)
-    g = g.withColumn("coef", _solve_udf(k, ridge)(F.col("xtx"), F.col("xty")))
-    # residual variance from the sums: SSE = y'y - 2 b'X'y + b'X'X b
-    bxy = F.aggregate(F.arrays_zip("coef", "xty"), F.lit(0.0), lambda s, e: s + e["coef"] * e["xty"])
-    quad = F.aggregate(F.sequence(F.lit(0), F.lit(k * k - 1)), F.lit(0.0), lambda s, i: s + F.element_at(
-        F.col("coef"), (i / k).cast("int") + 1) * F.element_at("xtx", i + 1) * F.element_at(F.col("coef"), i % k + 1))
-    sse = F.greatest(F.col("yty") - 2 * bxy + quad, F.lit(0.0))
-    g = g.withColumn("sigma", F.sqrt(sse / F.greatest(F.col("n") - k, F.lit(1.0))))
-    start = reg.groupBy(*keys).agg(F.min("date").alias("_d0"), F.max("date").alias("_d1"))
-    return g.join(start, keys).select(*keys, "coef", "sigma", "_d0", "_d1")
-
-
-def seasonal_forecast(params: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON) -> DataFrame:
-    keys = list(keys)
-    rows = params.select(*keys, "coef", "sigma", "_d0", "_d1",
-                         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
-    rows = rows.withColumn("date", F.date_add("_d1", F.col("step")))
-    t = F.datediff("date", "_d0").cast("double")
-    x = F.array(*_season_terms(t))
-    yhat = F.aggregate(F.arrays_zip(F.col("coef").alias("c"), x.alias("v")), F.lit(0.0),
-                       lambda s, e: s + e["c"] * e["v"])
-    rows = rows.withColumn("_y", yhat)
-    return rows.select(*keys, "date", clip0(F.col("_y")).alias("forecasted_price"),
-                       clip0(F.col("_y") - INTERVAL_Z * F.col("sigma")).alias("forecast_lower_bound"),
-                       clip0(F.col("_y") + INTERVAL_Z * F.col("sigma")).alias("forecast_upper_bound"),
-                       "step", F.lit("prophet").alias("model_name"))
-
-
 # sequence regressor (re-aim of the LSTM) on min-max scaled 10-day windows
 def fit_sequence_model(df: DataFrame, keys: Sequence[str] = ("asset",), length: int = SEQ_LEN):
     from ledgerline.functions.sequence import bounded_window
@@ -388,6 +360,31 @@ def fit_sequence_model(df: DataFrame, keys: Sequence[str] = ("asset",), length:
     return model, reg
 
 
+def sequence_backtest(regular: DataFrame, keys: Sequence[str] = ("asset",), test_size: float = TEST_SIZE, length: int = SEQ_LEN) -> DataFrame:
+    """One day ahead over the last ``test_size`` of each series' windows, by a model of the windows before."""
+    rows, feats = _windows(regular, keys, length)
+    n = broadcast_if_small(rows.groupBy(*keys).agg(F.max("_at").alias("_n")))
+    rows = rows.join(n, list(keys)).withColumn("_test", F.col("_at") > F.floor(F.col("_n") * (1 - test_size)))
+    rows = materialize(rows, "sequence-rows")
+    model = fit_regressor(rows.filter(~F.col("_test")), feats, "linear")
+    pred = model.transform(_assembled(rows.filter("_test"), feats))
+    back = lambda c: F.col(c) * (F.col("scaled_max") - F.col("scaled_min")) + F.col("scaled_min")
+    return pred.select(*keys, "date", back("price").alias("actual_price"), clip0(back("prediction")).alias("predicted_price"))
+
+
+def _windows(regular: DataFrame, keys: Sequence[str], length: int) -> tuple[DataFrame, list[str]]:
+    """Scaled windows s0 .. and the next value (price), numbered from 1 within their series."""
+    from ledgerline.functions.sequence import bounded_window
+    keys = list(keys)
+    reg = minmax_scale(regular, keys, "price", "scaled").withColumnRenamed("day_index", "_pos")
+
+    def build(d, w):
+        return d.withColumn("seq", F.collect_list("scaled").over(w.rowsBetween(-length, -1)))
+    rows = bounded_window(reg, keys, length, build, pos_col="_pos").filter(F.size("seq") == length)
+    return rows.select(*keys, "date", "scaled_min", "scaled_max", (F.col("_pos") - length).alias("_at"),
+                       *[F.col("seq")[i].alias(f"s{i}") for i in range(length)], F.col("scaled").alias("price")), [f"s{i}" for i in range(length)]
+
+
 def sequence_forecast(model, reg: DataFrame, keys: Sequence[str] = ("asset",), horizon: int = HORIZON,
                       length: int = SEQ_LEN, checkpoint_every: int = CHECKPOINT_EVERY) -> DataFrame:
     keys = list(keys)
@@ -456,15 +453,33 @@ def _forecast_one(df: DataFrame, name: str, horizon: int) -> DataFrame:
 
 
 # F12
+def held_out_predictions(df: DataFrame, name: str, test_size: float = TEST_SIZE, keys: Sequence[str] = ("asset",),
+                         min_rows: int = MIN_SERIES_ROWS, **params) -> DataFrame:
+    """Every held-out day with its prediction, as the application evaluates each model: ``arima`` and ``prophet`` are fitted on
+    the first part of each regular series and forecast the whole rest of it in one go; ``lstm`` predicts each day of the
+    last part of its windows from the days before; ``xgboost`` predicts the rows of the global time split from their features."""
+    keys = list(keys)
+    if name == "xgboost":
+        _, _, pred = model_backtest(df, "gbt", test_size, **params)
+        return pred.select(*keys, "date", F.col("price").alias("actual_price"), "predicted_price")
+    reg = materialize(regular_calendar(df, keys), "regular-series")
+    size = reg.groupBy(*keys).agg(F.max("day_index").alias("_size")).filter(F.col("_size") >= min_rows)
+    if name == "lstm":
+        return sequence_backtest(reg.join(broadcast_if_small(size.select(*keys)), keys), keys, test_size)
+    size = broadcast_if_small(size.select(*keys, F.floor(F.col("_size") * (1 - test_size)).alias("_cut"), "_size"))
+    parts = reg.join(size, keys)
+    train = parts.filter(F.col("day_index") <= F.col("_cut")).drop("_cut", "_size")
+    if name == "arima":
+        fit = fit_ar(df, keys, regular=train).join(size, keys)
+        fc = ar_forecast(df, fit, keys, F.col("_size") - F.col("_cut"), regular=train)
+    else:
+        fit = fit_seasonal(df, keys, regular=train).join(size, keys)
+        fc = seasonal_forecast(fit, keys, F.col("_size") - F.col("_cut"))
+    test = parts.filter(F.col("day_index") > F.col("_cut")).select(*keys, "date", F.col("price").alias("actual_price"))
+    return test.join(fc.select(*keys, "date", F.col("forecasted_price").alias("predicted_price")), [*keys, "date"], "left")
+
+
 def series_model_metrics(df: DataFrame, name: str, test_size: float = TEST_SIZE) -> DataFrame:
-    """Per-series split: fit on each series' train part, forecast as many days
-    as its test part spans, evaluate against the test days (daily means)."""
+    """Metrics of one model over every held-out day, in all and per series."""
     from ledgerline.operators.metrics import evaluate
-    sp = series_split(df, test_size=test_size)
-    train, test = sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
-    horizon = HORIZON
-    fc = _forecast_one(train, name, horizon)
-    actual = test.groupBy("asset", "date").agg(F.avg("price").alias("actual_price"))
-    j = actual.join(fc.select("asset", "date", F.col("forecasted_price").alias("predicted_price")),
-                    ["asset", "date"], "inner")
-    return evaluate(j).withColumn("model_name", F.lit(name))
+    return evaluate(held_out_predictions(df, name, test_size)).withColumn("model_name", F.lit(name))

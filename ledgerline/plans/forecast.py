@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators import forecast as FC
 from ledgerline.operators import metrics as M
 from ledgerline.operators.features import regular_calendar
+from ledgerline.operators.autoregression import lag_products
 from ledgerline.operators.profile import forecast_summary
+from ledgerline.operators.seasonal import gram_sums
 from ledgerline.plans.features import round_doubles
 from ledgerline.plans.sqlkit import sql_with
 from ledgerline.sources import tables as T
@@ -62,6 +64,32 @@ def f10_forecast_all(spark, sf):
     return round_doubles(FC.forecast(_prices(spark, sf), "all"))
 
 
+def f7_lag_products(spark, sf):
+    """What F7's exact likelihood reads of each series: lag products of the daily differences, as shares of that of lag 0."""
+    sums = lag_products(_prices(spark, sf))
+    return sums.select("asset", "n", *[F.round(F.col("products")[k] / F.col("products")[0], 6).alias(f"r{k}") for k in range(1, FC.AR_ORDER + 1)],
+                       F.round(F.col("first")[0], 6).alias("first"), F.round(F.element_at("last", -1), 6).alias("last"))
+
+
+def f8_gram_sums(spark, sf):
+    """Some of F8's sums per series: each column's product with the scaled price, in order of the columns."""
+    g = gram_sums(regular_calendar(_prices(spark, sf)))
+    rows = g.select("asset", "days", F.posexplode("xty").alias("term", "xy"))
+    return rows.select("asset", F.col("days").cast("long").alias("days"), "term", F.round("xy", 5).alias("xy"))
+
+
+def f12_test_records(spark, sf):
+    """Held-out days that each series' model predicts: all of them."""
+    p = _prices(spark, sf)
+    out = None
+    for name in ("arima", "prophet", "lstm"):
+        h = FC.held_out_predictions(p, name)
+        one = h.groupBy("asset").agg(F.count_if(F.col("predicted_price").isNotNull()).alias("records"), F.min("date").alias("first_day"),
+                                     F.max("date").alias("last_day")).withColumn("model_name", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def f12_model_comparison(spark, sf):
     p = _prices(spark, sf)
     per = None
@@ -113,7 +141,32 @@ REG = (sql_with("prices") + ", daily AS (SELECT asset, date, avg(price) AS price
 
 _LAGS = ", ".join(f"lag(dd, {i}) OVER (PARTITION BY asset ORDER BY date) AS d{i}" for i in range(1, FC.AR_ORDER + 1))
 
+def _design_sql() -> str:
+    """The columns of F8's design as one list, day from 0."""
+    hinges = ", ".join(f"greatest(t - hp[{j}], 0)" for j in range(1, 26))
+    waves = ", ".join(f"sin(2 * pi() * {k} * day / {period}), cos(2 * pi() * {k} * day / {period})"
+                      for period, order in (("365.25", 10), ("7.0", 3)) for k in range(1, order + 1))
+    return f"[1.0, t, {hinges}, {waves}]"
+
+
 ORACLE = {
+    "f7_lag_products": REG + ", df AS (SELECT asset, date, price - lag(price) OVER (PARTITION BY asset ORDER BY date) AS dd FROM reg), "
+                       f"lg AS (SELECT asset, date, dd, {_LAGS} FROM df) SELECT asset, CAST(count(dd) AS BIGINT) AS n, "
+                       + ", ".join(f"round(sum(dd * d{k}) / sum(dd * dd), 6) AS r{k}" for k in range(1, 6))
+                       + ", round(arg_min(dd, date), 6) AS first, round(arg_max(dd, date), 6) AS last FROM lg WHERE dd IS NOT NULL GROUP BY asset",
+    # 25 changepoints: evenly from day 0 to the last day of the first 80 %, without day 0
+    "f8_gram_sums": REG + ", sz AS (SELECT asset, max(day_index) AS days, max(abs(price)) AS scale FROM reg GROUP BY asset), "
+                    "x AS (SELECT asset, days, price / scale AS y, (day_index - 1) * 1.0 AS day, (day_index - 1.0) / (days - 1) AS t, "
+                    "list_transform(range(1, 26), lambda j: round_even(j * (floor(days * CAST(0.8 AS DOUBLE)) - 1) / 25, 0) / (days - 1)) AS hp "
+                    "FROM reg JOIN sz USING (asset)), d AS (SELECT asset, days, y, " + _design_sql() + " AS c FROM x), "
+                    "u AS (SELECT asset, days, y, unnest(c) AS v, unnest(range(len(c))) AS term FROM d) SELECT asset, CAST(days AS BIGINT) AS days, "
+                    "CAST(term AS INTEGER) AS term, round(sum(v * y), 5) AS xy FROM u GROUP BY asset, days, term",
+    "f12_test_records": REG + ", sz AS (SELECT asset, max(day_index) AS n FROM reg GROUP BY asset HAVING max(day_index) >= 10), "
+                        "c AS (SELECT asset, n, floor(n * CAST(0.8 AS DOUBLE)) AS cut, 10 + floor((n - 10) * CAST(0.8 AS DOUBLE)) AS seq FROM sz), "
+                        "t AS (SELECT 'arima' AS model_name, asset, date FROM reg JOIN c USING (asset) WHERE day_index > cut UNION ALL "
+                        "SELECT 'prophet', asset, date FROM reg JOIN c USING (asset) WHERE day_index > cut UNION ALL "
+                        "SELECT 'lstm', asset, date FROM reg JOIN c USING (asset) WHERE day_index > seq) SELECT asset, CAST(count(*) AS BIGINT) "
+                        "AS records, min(date) AS first_day, max(date) AS last_day, model_name FROM t GROUP BY asset, model_name",
     "f7_ar_design": REG + ", df AS (SELECT asset, date, price - lag(price) OVER (PARTITION BY asset ORDER BY date) "
                     f"AS dd FROM reg), lg AS (SELECT asset, date, dd, {_LAGS} FROM df) SELECT asset, date, "
                     "round(dd, 6) AS d0, " + ", ".join(f"round(d{i}, 6) AS d{i}" for i in range(1, FC.AR_ORDER + 1))
@@ -138,6 +191,9 @@ QUERIES = {
     "m12_feature_importance": m12_feature_importance,
     "f6_recursive_forecast": f6_recursive_forecast,
     "f10_forecast_all": f10_forecast_all,
+    "f7_lag_products": f7_lag_products,
+    "f8_gram_sums": f8_gram_sums,
+    "f12_test_records": f12_test_records,
     "f12_model_comparison": f12_model_comparison,
     "f4_random_forest_backtest": f4_random_forest_backtest,
 }
