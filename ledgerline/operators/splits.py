@@ -58,8 +58,8 @@ def time_split(df: DataFrame, test_size: float = TEST_SIZE, validation_size: flo
 # S3
 def shuffled_split(df: DataFrame, test_size: float = TEST_SIZE, validation_size: float = 0.0,
                    seed: int = SEED, row_id: str = "row_id") -> DataFrame:
-    """As S1 but over a seeded pseudo-random order (hash of row id and seed)."""
-    shuf = df.withColumn("_shuffle", F.xxhash64(F.col(row_id), F.lit(seed)))
+    """As S1 but over a seeded pseudo-random order (MD5 of "row id:seed", then the row id)."""
+    shuf = df.withColumn("_shuffle", F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.lit(str(seed)))))
     return time_split(shuf, test_size, validation_size, ["_shuffle", row_id]).drop("_shuffle")
 
 

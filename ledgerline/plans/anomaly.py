@@ -9,6 +9,7 @@ from ledgerline.operators.cleaning import clean_prices
 from ledgerline.operators.features import anomaly_features
 from ledgerline.operators.iforest import detect_isolation_forest
 from ledgerline.operators.splits import time_split
+from ledgerline.plans.features import ORACLE as FEATURE_ORACLE
 from ledgerline.plans.features import round_doubles
 from ledgerline.plans.flagship import CLEAN_TICKS, FLAGS_SQL, ticks_flags
 from ledgerline.plans.sqlkit import sql_with
@@ -71,6 +72,45 @@ def d7_frozen_scoring(spark, sf):
                                     "price_z_score", "anomaly_severity"))
 
 
+def d7_refit_scoring(spark, sf):
+    """Fences and moments worked out anew on the test part."""
+    test = time_split(_clean_ticks(spark, sf)).filter(F.col("split") == "test").drop("split")
+    out = A.score_new_data(test, {}, mode="refit", as_date=False)
+    return round_doubles(out.select("date", "asset", "price", "row_id", "is_anomaly_iqr", "is_anomaly_zscore",
+                                    "price_z_score", "anomaly_severity"))
+
+
+def d7_saved_state_scoring(spark, sf):
+    """State fitted on the train part, saved as a version of the model store, read back and applied to the test part."""
+    import uuid
+
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.model_store import ModelStore, load_detector, save_detector
+    sp = time_split(_clean_ticks(spark, sf))
+    train, test = sp.filter(F.col("split") == "train").drop("split"), sp.filter(F.col("split") == "test").drop("split")
+    store = ModelStore(spark, scratch_path(spark, f"detector-{uuid.uuid4().hex}"))
+    save_detector(store, A.fit_state(train, forest=False))
+    out = A.score_new_data(test, load_detector(store), mode="frozen", as_date=False)
+    return round_doubles(out.select("date", "asset", "price", "row_id", "is_anomaly_iqr", "is_anomaly_zscore",
+                                    "price_z_score", "anomaly_severity"))
+
+
+def d6_fit_detect_without_forest(spark, sf):
+    """Clean, features, fences, z-scores and combined flags in one call; the forest's columns are in d6_fit_detect."""
+    out = A.fit_detect(T.ticks(spark, sf), forest=False, as_date=False)
+    return round_doubles(out.select("row_id", "asset", "price", "daily_return", "price_lag_7", "price_rolling_std_14", "return_rolling_volatility_30",
+                                    "is_anomaly_iqr", "is_anomaly_zscore", "anomaly_method_count", "anomaly_method", "anomaly_severity"))
+
+
+def d8_detection_report(spark, sf):
+    """The report's tables of totals, methods and severities, one under the other."""
+    report = A.detection_report(ticks_flags(spark, sf))
+    total = report["summary"].select(F.lit("summary").alias("section"), F.lit("anomalies").alias("name"), F.col("total_anomalies").alias("records"))
+    methods = report["methods"].select(F.lit("method").alias("section"), F.col("method").alias("name"), F.col("anomaly_count").alias("records"))
+    levels = report["severity"].select(F.lit("severity").alias("section"), F.col("anomaly_severity").alias("name"), F.col("record_count").alias("records"))
+    return total.unionByName(methods).unionByName(levels)
+
+
 def d8_asset_summary_with_forest(spark, sf):
     return round_doubles(A.asset_anomaly_summary(_forest_rows(spark, sf)))
 
@@ -139,6 +179,16 @@ ORACLE = {
                               "row_id LIMIT 20",
 }
 
+ORACLE["d7_saved_state_scoring"] = ORACLE["d7_frozen_scoring"]
+ORACLE["d7_refit_scoring"] = ORACLE["d7_frozen_scoring"].replace("FROM tr GROUP BY asset", "FROM te GROUP BY asset")
+ORACLE["d6_fit_detect_without_forest"] = (
+    f"SELECT w.row_id, w.asset, w.price, daily_return, price_lag_7, price_rolling_std_14, return_rolling_volatility_30, is_anomaly_iqr, is_anomaly_zscore, "
+    f"anomaly_method_count, anomaly_method, anomaly_severity FROM ({FEATURE_ORACLE['w21c_anomaly_features']}) w JOIN ({ORACLE['d5_combined_flags']}) f USING (row_id)")
+ORACLE["d8_detection_report"] = (
+    f"SELECT 'summary' AS section, 'anomalies' AS name, total_anomalies AS records FROM ({ORACLE['a19_anomaly_summary']}) UNION ALL "
+    f"SELECT 'method', method, anomaly_count FROM ({ORACLE['a20_method_summary']}) UNION ALL "
+    f"SELECT 'severity', anomaly_severity, record_count FROM ({ORACLE['a21_severity_distribution']})")
+
 QUERIES = {
     "d1_iqr_flags": d1_iqr_flags,
     "d2_global_iqr_outliers": d2_global_iqr_outliers,
@@ -147,6 +197,10 @@ QUERIES = {
     "d5_combined_flags": d5_combined_flags,
     "d6_fit_detect": d6_fit_detect,
     "d7_frozen_scoring": d7_frozen_scoring,
+    "d7_refit_scoring": d7_refit_scoring,
+    "d7_saved_state_scoring": d7_saved_state_scoring,
+    "d6_fit_detect_without_forest": d6_fit_detect_without_forest,
+    "d8_detection_report": d8_detection_report,
     "d8_asset_summary_with_forest": d8_asset_summary_with_forest,
     "a19_anomaly_summary": a19_anomaly_summary,
     "a20_method_summary": a20_method_summary,

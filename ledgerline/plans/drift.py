@@ -132,6 +132,21 @@ ORACLE = {
                         " FROM sref JOIN scur USING (feature) LEFT JOIN psi USING (feature) LEFT JOIN ks USING (feature)",
 }
 
+# the chi-square tail by the series of the lower incomplete gamma function, a = dof / 2, x = statistic / 2
+X6_SQL = (SRC + CHI + ", raw AS (" + _long(CAT, "VARCHAR") + "), un AS (SELECT feature, sample, count(DISTINCT value) AS u, "
+          "count_if(value IS NULL) / count(*) AS miss, count(*) AS n FROM raw GROUP BY ALL), vc AS (SELECT feature, sample, value, count(*) AS c FROM lc GROUP BY ALL), "
+          "tp AS (SELECT feature, sample, value, c FROM vc QUALIFY row_number() OVER (PARTITION BY feature, sample ORDER BY c DESC, value) = 1), "
+          "sd AS (SELECT un.feature, un.sample, u, miss, value AS top, c / n AS share FROM un JOIN tp USING (feature, sample)), "
+          "pv2 AS (SELECT feature, chi2, CASE WHEN chi2 IS NULL THEN NULL WHEN chi2 <= 0 THEN 1.0 ELSE greatest(0, 1 - exp(dof / 2.0 * ln(chi2 / 2) - chi2 / 2 "
+          "- lgamma(dof / 2.0 + 1)) * list_sum(list_transform(range(0, 2000), lambda i: exp(i * ln(chi2 / 2) + lgamma(dof / 2.0 + 1) - lgamma(dof / 2.0 + i + 1))))) "
+          "END AS p FROM chi) SELECT a.feature, CAST(a.u AS BIGINT) AS reference_unique_count, round(a.miss, 6) AS reference_missing_rate, a.top AS "
+          "reference_top_category, round(a.share, 6) AS reference_top_category_share, CAST(b.u AS BIGINT) AS current_unique_count, round(b.miss, 6) AS "
+          "current_missing_rate, b.top AS current_top_category, round(b.share, 6) AS current_top_category_share, round(chi2, 6) AS chi2_statistic, "
+          "round(p, 6) AS chi2_p_value, 'categorical' AS feature_type, CAST(abs(b.u - a.u) AS BIGINT) AS category_count_change, coalesce(p < 0.05, false) AS "
+          "statistical_drift, a.top IS DISTINCT FROM b.top AS top_category_changed, coalesce(p < 0.05, false) OR a.top IS DISTINCT FROM b.top AS drift_detected "
+          "FROM sd a JOIN sd b ON a.feature = b.feature AND a.sample = 'ref' AND b.sample = 'cur' LEFT JOIN pv2 ON pv2.feature = a.feature")
+ORACLE["x6_categorical_drift"] = X6_SQL
+
 QUERIES = {
     "x1_psi": x1_psi,
     "x3_ks_test": x3_ks_test,

@@ -277,6 +277,9 @@ ORACLE = {
                                              _nullable(W.LAGS, True)),
     "s1_time_split": P + ", " + SPLIT_RANK + " SELECT date, asset, price, row_id, CASE WHEN pos <= floor(n * "
                          "CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM rk",
+    "s3_shuffled_split": P + ", rk AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', row_id, 42)), row_id) AS pos, count(*) OVER () AS n "
+                         "FROM prices) SELECT date, asset, price, row_id, CASE WHEN pos <= floor(n * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END "
+                         "AS split FROM rk",
     "s2_train_validation_test": P + ", " + SPLIT_RANK + " SELECT date, asset, price, row_id, CASE WHEN pos <= floor(n * "
                                     f"CAST({1 - 0.1 - 0.2!r} AS DOUBLE)) THEN 'train' WHEN pos <= floor(n * CAST(0.8 AS DOUBLE)) "
                                     "THEN 'validation' ELSE 'test' END AS split FROM rk",

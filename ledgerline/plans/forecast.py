@@ -108,6 +108,40 @@ def a18_forecast_summary(spark, sf):
     return forecast_summary(FC._forecast_one(_prices(spark, sf), "arima", FC.HORIZON))
 
 
+def _regular_predictions(p):
+    """F1 on the regular series: each day's prediction is the price of the day before."""
+    from ledgerline.functions.sequence import bounded_window
+    reg = regular_calendar(p).withColumnRenamed("day_index", "_pos")
+    rows = bounded_window(reg, ["asset"], 1, lambda d, w: d.withColumn("predicted_price", F.lag("price", 1).over(w)), pos_col="_pos")
+    return rows.filter("predicted_price IS NOT NULL").select("asset", "date", "predicted_price")
+
+
+def a18_backtest_summary(spark, sf):
+    return forecast_summary(_regular_predictions(_prices(spark, sf)).withColumn("model_name", F.lit("previous_price")))
+
+
+def j2_actual_prediction_join(spark, sf):
+    """Days with an actual price and a prediction (evaluation set)."""
+    p = _prices(spark, sf)
+    actual = p.groupBy("asset", "date").agg(F.avg("price").alias("actual_price"))
+    return round_doubles(actual.join(_regular_predictions(p), ["asset", "date"], "inner"))
+
+
+def j3_actual_left_join_prediction(spark, sf):
+    """All days with an actual price, with their prediction where there is one (a series' first day has none)."""
+    p = _prices(spark, sf)
+    actual = p.groupBy("asset", "date").agg(F.avg("price").alias("actual_price"))
+    return round_doubles(actual.join(_regular_predictions(p), ["asset", "date"], "left"))
+
+
+def j6_history_and_predictions(spark, sf):
+    """History and predictions of each series on one time axis."""
+    p = _prices(spark, sf)
+    hist = regular_calendar(p).select("asset", "date", "price", F.lit("history").alias("kind"))
+    pred = _regular_predictions(p).select("asset", "date", F.col("predicted_price").alias("price"), F.lit("forecast").alias("kind"))
+    return round_doubles(hist.unionByName(pred))
+
+
 def j2_actual_calendar_join(spark, sf):
     p = _prices(spark, sf)
     actual = p.groupBy("asset", "date").agg(F.avg("price").alias("actual_price"))
@@ -177,7 +211,26 @@ ORACLE = {
                                     "round(daily.price, 6) AS actual_price FROM reg LEFT JOIN daily USING (asset, date)",
 }
 
+_PRED = (", pr AS (SELECT asset, date, lag(price) OVER (PARTITION BY asset ORDER BY date) AS predicted_price FROM reg), "
+         "pp AS (SELECT * FROM pr WHERE predicted_price IS NOT NULL)")
+ORACLE |= {
+    "a18_backtest_summary": REG + _PRED + " SELECT CAST(count(*) AS BIGINT) AS forecast_rows, CAST(1 AS BIGINT) AS model_count, CAST(count(DISTINCT asset) "
+                            "AS BIGINT) AS asset_count, min(date) AS start_date, max(date) AS end_date, round(avg(predicted_price), 4) AS average_forecast, "
+                            "round(min(predicted_price), 4) AS min_forecast, round(max(predicted_price), 4) AS max_forecast, ['previous_price'] AS "
+                            "models_used, list_sort(list(DISTINCT asset)) AS assets_forecasted FROM pp",
+    "j2_actual_prediction_join": REG + _PRED + " SELECT asset, date, round(daily.price, 6) AS actual_price, round(predicted_price, 6) AS predicted_price "
+                                 "FROM daily JOIN pp USING (asset, date)",
+    "j3_actual_left_join_prediction": REG + _PRED + " SELECT asset, date, round(daily.price, 6) AS actual_price, round(predicted_price, 6) AS "
+                                      "predicted_price FROM daily LEFT JOIN pp USING (asset, date)",
+    "j6_history_and_predictions": REG + _PRED + " SELECT asset, date, round(price, 6) AS price, 'history' AS kind FROM reg UNION ALL SELECT asset, date, "
+                                  "round(predicted_price, 6), 'forecast' FROM pp",
+}
+
 QUERIES = {
+    "a18_backtest_summary": a18_backtest_summary,
+    "j2_actual_prediction_join": j2_actual_prediction_join,
+    "j3_actual_left_join_prediction": j3_actual_left_join_prediction,
+    "j6_history_and_predictions": j6_history_and_predictions,
     "j2_actual_calendar_join": j2_actual_calendar_join,
     "j3_calendar_left_join_actual": j3_calendar_left_join_actual,
     "f7_ar_design": f7_ar_design,

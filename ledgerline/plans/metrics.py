@@ -56,6 +56,12 @@ def m9_comparison_table(spark, sf):
     return _comparable(M.comparison_table(_averaged(spark, sf)))
 
 
+def m9_missing_model(spark, sf):
+    """A model without metrics is listed as missing, unranked, after the others; each names its metrics file."""
+    names = [c.removesuffix("_prediction") for c in PRED_COLS]
+    return _comparable(M.comparison_table(_averaged(spark, sf), [*names, "lstm"], metrics_files={m: f"{m}_metrics.json" for m in [*names, "lstm"]}))
+
+
 def m10_best_model(spark, sf):
     return _comparable(M.best_model(M.comparison_table(_averaged(spark, sf))))
 
@@ -122,6 +128,9 @@ ORACLE = {
                             + " FROM bt GROUP BY asset)",
     "m7_evaluate_prediction_columns": BT + EV + " SELECT * REPLACE (round(mse, 2) AS mse) FROM ev",
     "m8_average_metrics": BT + EV + AV + " SELECT * REPLACE (round(mse, 2) AS mse) FROM av",
+    "m9_missing_model": BT + EV + AV + CMP + ", al AS (SELECT * FROM cmp UNION ALL BY NAME SELECT 'lstm' AS model_name, CAST(0 AS BIGINT) AS "
+                        "trained_asset_count, '' AS trained_assets, 'missing' AS status) SELECT * REPLACE (round(mse, 2) AS mse), "
+                        "model_name || '_metrics.json' AS metrics_file FROM al",
     "m9_comparison_table": BT + EV + AV + CMP + " SELECT * REPLACE (round(mse, 2) AS mse) FROM cmp",
     "m10_best_model": BT + EV + AV + CMP + " SELECT model_name AS best_model, 'rmse' AS selection_metric, "
                       "rmse AS metric_value, " + ", ".join("round(mse, 2) AS mse" if m == "mse" else m for m in M.METRICS) + ", 'Selected because it has the best rmse.' "
@@ -137,6 +146,7 @@ QUERIES = {
     "m7_evaluate_prediction_columns": m7_evaluate_prediction_columns,
     "m8_average_metrics": m8_average_metrics,
     "m9_comparison_table": m9_comparison_table,
+    "m9_missing_model": m9_missing_model,
     "m10_best_model": m10_best_model,
     "m11_combined_evaluation": m11_combined_evaluation,
 }
