@@ -79,16 +79,19 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 # C7
 def clean_prices(df: DataFrame, date_column: str = "date", asset_column: str = "asset",
-                 target_column: str = "price", as_date: bool = True) -> DataFrame:
-    """Canonical model-side cleaning: names, required columns, coercion,
-    drop rows with a null key or price, keep price >= 0."""
+                 target_column: str = "price", as_date: bool = True, check_empty: bool = True) -> DataFrame:
+    """Canonical model-side cleaning: names, required columns, at least one row (unless it is a stream or
+    ``check_empty`` is off), coercion, drop rows with a null key or price, keep price >= 0. Asset
+    names stay as they are, blanks included."""
     df = standardize_columns(df, slash=False)
     require_columns(df, [date_column, asset_column, target_column])
+    if check_empty and not df.isStreaming:
+        require_rows(df, "input data")
     date_is_text = dict(df.dtypes)[date_column] == "string"
     df = df.withColumns({
         date_column: to_datetime(F.col(date_column), as_date) if date_is_text or as_date
         else F.col(date_column),
-        asset_column: F.trim(F.col(asset_column).cast("string")),
+        asset_column: F.col(asset_column).cast("string"),
         target_column: to_number(F.col(target_column), is_numeric_type(df, target_column)),
     })
     return df.filter(F.col(date_column).isNotNull() & F.col(asset_column).isNotNull()

@@ -173,7 +173,7 @@ ORACLE = {
     "c3_coerce_numeric": D + ", " + DIRTY_STD + " SELECT date, asset, CASE WHEN isfinite(TRY_CAST(trim(price) AS DOUBLE)) "
                          "THEN TRY_CAST(trim(price) AS DOUBLE) END AS price, row_id FROM std",
     "c6_drop_duplicate_rows": D + " SELECT DISTINCT * FROM dirty_prices",
-    "c7_clean_prices": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + " SELECT date, trim(asset) AS asset, price, row_id "
+    "c7_clean_prices": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + " SELECT date, asset, price, row_id "
                        "FROM typed WHERE date IS NOT NULL AND asset IS NOT NULL AND price IS NOT NULL AND price >= 0",
     "c8_asset_type": f"SELECT p_partkey, p_name AS asset_name, {AT('p_name')} AS asset_type FROM part",
     "c9_portfolio_adapter": sql_with("prices") + ", a AS (SELECT *, coalesce(asset, 'nan') AS asset_name, "
@@ -234,7 +234,7 @@ ORACLE = {
     "c23_asset_slug": "SELECT p_partkey, asset, regexp_replace(lower(trim(asset)), '[ /\\\\-]', '_', 'g') AS asset_slug "
                       "FROM (SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), "
                       "lambda x: upper(x[1]) || lower(x[2:])), ' ') AS asset FROM part)",
-    "io1_csv_scan": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + " SELECT date, trim(asset) AS asset, price, row_id "
+    "io1_csv_scan": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + " SELECT date, asset, price, row_id "
                     "FROM typed WHERE date IS NOT NULL AND asset IS NOT NULL AND price IS NOT NULL AND price >= 0",
     "io2_named_dataset": "SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS asset, o_totalprice AS price "
                          "FROM orders",

@@ -204,7 +204,7 @@ def _portfolio_oracle():
     return f"{P}, {PORTFOLIO_SRC}, {agg}, {base}, g AS ({filled}) SELECT {rsel(dbl, plain)} FROM g"
 
 
-TICKS_CLEAN = ("tc AS (SELECT date, trim(asset) AS asset, price, row_id FROM ticks WHERE date IS NOT NULL "
+TICKS_CLEAN = ("tc AS (SELECT date, asset, price, row_id FROM ticks WHERE date IS NOT NULL "
                "AND asset IS NOT NULL AND price IS NOT NULL AND isfinite(price) AND price >= 0)")
 
 SPLIT_RANK = ("rk AS (SELECT *, row_number() OVER (ORDER BY date, row_id) AS pos, count(*) OVER () AS n FROM prices)")

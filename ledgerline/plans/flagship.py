@@ -33,7 +33,7 @@ def m0_ticks_asset_anomaly_summary(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 CLEAN_TICKS = (
-    "clean AS (SELECT date, trim(asset) AS asset, price, row_id FROM ticks "
+    "clean AS (SELECT date, asset, price, row_id FROM ticks "
     "WHERE date IS NOT NULL AND asset IS NOT NULL AND price IS NOT NULL "
     "AND NOT isnan(price) AND NOT isinf(price) AND price >= 0)")
 

@@ -233,7 +233,7 @@ ORACLE = {
                                                  "average_seconds, CAST(count_if(status = 'success') AS BIGINT) AS "
                                                  "succeeded, CAST(count_if(status = 'failed') AS BIGINT) AS failed "
                                                  "FROM run_log GROUP BY category",
-    "a25_dataset_status": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + ", c AS (SELECT date, trim(asset) AS asset, price "
+    "a25_dataset_status": D + ", " + DIRTY_STD + ", " + DIRTY_TYPED + ", c AS (SELECT date, asset, price "
                           "FROM typed WHERE date IS NOT NULL AND asset IS NOT NULL AND price IS NOT NULL AND price >= 0) "
                           "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT asset) AS BIGINT) AS asset_count, "
                           "min(date) AS start_date, max(date) AS end_date, round(avg(price), 4) AS average_price, "

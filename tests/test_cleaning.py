@@ -101,3 +101,15 @@ def test_slug(spark):
     df = spark.createDataFrame([(" Gold/Silver-ETF x\\y ",)], "asset string")
     assert C.with_asset_slug(df).first().asset_slug == "gold_silver_etf_x_y"
     assert F is not None
+
+
+def test_clean_prices_keeps_names_and_wants_rows(spark):
+    import pytest
+
+    from ledgerline.operators.cleaning import EmptyDataError, clean_prices
+    rows = [("2024-01-01", " A", "1"), ("2024-01-01", "A", "2"), ("2024-01-02", "A ", "-3"), ("2024-01-02", "", "4")]
+    df = spark.createDataFrame(rows, "Date string, Asset string, Price string")
+    assert sorted((r.asset, r.price) for r in clean_prices(df).collect()) == [("", 4.0), (" A", 1.0), ("A", 2.0)]
+    with pytest.raises(EmptyDataError):
+        clean_prices(df.limit(0))
+    assert clean_prices(df.limit(0), check_empty=False).count() == 0
