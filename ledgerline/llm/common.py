@@ -40,6 +40,16 @@ def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as no column of ``df`` has it (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def give_back_ids(df: DataFrame, *cols: str) -> DataFrame:
     """Undo :func:`id_and_text` for id columns of a result."""
     for c in cols or ("doc_id",):

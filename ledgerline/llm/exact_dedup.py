@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import give_back_ids, id_and_text, keep_table, partitions
+from ledgerline.llm.common import free_names, give_back_ids, id_and_text, keep_table, partitions
 from ledgerline.session import checkpoint_dir, scratch_path
 
 # A digest that holds more than 1/HOT_SHARE of the rows is "hot"; there are at
@@ -27,16 +27,29 @@ HOT_SHARE = 1000
 
 
 class DigestIndex:
-    """A named index table: ``digest`` binary, ``keep_id`` long, ``group_size`` long."""
+    """A named index table: ``digest`` binary, ``keep_id`` long, ``group_size`` long.
+
+    Its number of buckets is kept beside the data (an empty file ``_buckets_<n>``): whoever opens the path
+    again, in whatever session, uses that number."""
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         checkpoint_dir(spark)
-        self.spark, self.buckets = spark, buckets or partitions(spark)
         self.table = f"digest_index_{uuid.uuid4().hex}"
         self.path = path or scratch_path(spark, self.table)
+        self.spark, self.buckets = spark, self._stored(spark, buckets or partitions(spark))
         spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, group_size BIGINT) USING parquet "
                   f"OPTIONS (path '{self.path}') CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS")
 
+    def _stored(self, spark: SparkSession, wanted: int) -> int:
+        """The number of buckets of what lies at the path; ``wanted``, noted there, if there is nothing yet."""
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        found = files.globStatus(path(f"{self.path}/_buckets_*"))
+        if found:
+            return int(found[0].getPath().getName().rpartition("_")[2])
+        files.create(path(f"{self.path}/_buckets_{wanted}"), True).close()
+        return wanted
+
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
@@ -77,6 +90,9 @@ def lookup(digests: DataFrame, index: DigestIndex) -> DataFrame:
 def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``.
 
+    Rows repeated whole (one doc_id, one text) share their lot: all of them are kept where that doc_id stays;
+    :func:`drop_copies` leaves one.
+
     With a fresh index (the default) the whole table is one batch. With an
     index that already holds texts, those keep their earlier representative,
     and rows with such a text come back as not kept."""
@@ -92,10 +108,11 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row left of each group of equal texts: of the rows
     with the largest doc_id, one (a doc_id can repeat)."""
-    d = docs.withColumn("_digest", F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))) \
-            .withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
+    row, own = free_names(docs, "_digest", "_id")
+    d = docs.withColumn(row, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))) \
+            .withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)))
     index = DigestIndex(docs.sparkSession)
-    index.append(keep_table(d.select(F.col("_id").alias("doc_id"), F.col("_digest").alias("digest")), "digests"))
-    win = index.read().select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_id"))
+    index.append(keep_table(d.select(F.col(own).alias("doc_id"), F.col(row).alias("digest")), "digests"))
+    win = index.read().select(F.col("digest").alias(row), F.col("keep_id").alias(own))
     # only the representatives' rows remain before rows of one (digest, id) are reduced to one
-    return d.join(win, ["_digest", "_id"], "left_semi").dropDuplicates(["_digest", "_id"]).select(*docs.columns)
+    return d.join(win, [row, own], "left_semi").dropDuplicates([row, own]).select(*docs.columns)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.llm.common import NULL_ID, give_back_ids, hex_digits, keep_table, running_before
+from ledgerline.llm.common import NULL_ID, free_names, give_back_ids, hex_digits, keep_table, running_before
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 4096
@@ -228,9 +228,10 @@ def taken_words(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The mix as documents: one row, as it is in ``docs``, per document and pass that takes it. No document is cut."""
     _, pieces = mix(docs, block_words, whole=True)
-    taken = pieces.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("copy").alias("_copy"))
+    own, row, copy = free_names(docs, "_id", "_h", "_copy")
+    taken = pieces.select(F.col("doc_id").alias(own), F.col("h").alias(row), F.col("copy").alias(copy))
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-         .withColumn("_h", F.xxhash64(text, F.coalesce(F.col("source"), F.lit("")))))
-    d = d.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_h").orderBy(F.lit(0))))
-    return d.join(taken, ["_id", "_h", "_copy"]).select(*docs.columns)
+    d = (docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+         .withColumn(row, F.xxhash64(text, F.coalesce(F.col("source"), F.lit("")))))
+    d = d.withColumn(copy, F.row_number().over(Window.partitionBy(own, row).orderBy(F.lit(0))))
+    return d.join(taken, [own, row, copy]).select(*docs.columns)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.llm.common import (NULL_ID, U64, Words, batch_of, dec, enc, give_back_ids, id_and_text, keep_table, mix, shard_bits,
+from ledgerline.llm.common import (NULL_ID, U64, Words, batch_of, dec, enc, free_names, give_back_ids, id_and_text, keep_table, mix, shard_bits,
                                    small_batches, texts)
 
 START, END = 2, 3
@@ -293,8 +293,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows that the classifier rejects."""
-    bad = classify(docs, labels).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), F.col("h").alias("_h")).distinct()
+    own, row = free_names(docs, "_id", "_h")
+    bad = classify(docs, labels).where("not kept").select(F.coalesce("doc_id", F.lit(NULL_ID)).alias(own), F.col("h").alias(row)).distinct()
     lang = F.coalesce(F.concat(F.lit("s"), F.col("lang")), F.lit("n"))
-    d = (docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
-         .withColumn("_h", F.xxhash64(F.coalesce(F.col("text"), F.lit("")), lang)))
-    return d.join(bad, ["_id", "_h"], "left_anti").select(*docs.columns)
+    d = (docs.withColumn(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)))
+         .withColumn(row, F.xxhash64(F.coalesce(F.col("text"), F.lit("")), lang)))
+    return d.join(bad, [own, row], "left_anti").select(*docs.columns)
