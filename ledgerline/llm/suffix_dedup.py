@@ -40,6 +40,7 @@ from ledgerline.llm.substring_dedup import CELLS_PER_WINDOW, TO_CHUNK, TO_SHARD,
 LENGTH, K = 50, 24
 PER_SHARD = 1 << 20
 BUCKET_RECORDS = 50_000
+SLICE_RECORDS, SLICE_STRINGS = 20_000, 200_000   # of a bucket, worked on at a time
 HOT_PART = 10
 MOST_SPLITTERS = 10_000
 STRINGS = 1 << 40     # shards from here on hold strings of hot records
@@ -269,6 +270,79 @@ def _words_of(data: np.ndarray, start: np.ndarray, size: np.ndarray, words: int)
     return out
 
 
+def _by_gram(data: np.ndarray, start: np.ndarray, size: np.ndarray, lead: np.ndarray, k: int) -> list[np.ndarray]:
+    """A bucket's records in slices of about ``SLICE_RECORDS``, in the order of their k-grams; a k-gram is in one slice."""
+    if len(start) <= SLICE_RECORDS:
+        return [np.arange(len(start))]
+    order, cls = multikey_order(_words_of(data, start + lead, np.minimum(size - lead, k), -(-k // 8)))
+    head = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1]])
+    cuts = head[np.unique(np.searchsorted(head, np.arange(0, len(order), SLICE_RECORDS)).clip(max=len(head) - 1))]
+    return np.split(order, cuts[cuts > 0])
+
+
+def _shared(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray, lead: np.ndarray, length: int, k: int):
+    """What other records with smaller documents have of some records (whole k-grams of them): record, place in it, bytes."""
+    suffix = _words_of(data, start + lead, size - lead, -(-(2 * length - k) // 8))
+    gram = 8 * (k // 8) == k and k // 8
+    order, cls = multikey_order([*suffix, size, *_words_of(data, start, lead, -(-2 * (length - k) // 8) or 1)])
+    least = np.full(len(order), np.iinfo(np.int64).max)
+    np.minimum.at(least, cls, doc[order])             # smallest document of each distinct record
+    gone = np.zeros(len(order), bool)
+    gone[order] = doc[order] > least[cls]
+    # distinct records that share their k-gram: compare string by string
+    head = np.unique(cls)
+    rep = order[head]
+    grams = np.stack([suffix[j][rep] for j in range(gram)]) if gram else np.stack(_words_of(data, start[rep] + lead[rep], np.full(len(rep), k), -(-k // 8)))
+    change = np.r_[True, (grams[:, 1:] != grams[:, :-1]).any(axis=0)] if len(rep) else np.zeros(0, bool)
+    group = np.cumsum(change) - 1
+    several = np.bincount(group)[group] > 1 if len(rep) else change
+    owner, fro, to = _late_strings(data, start[rep[several]], size[rep[several]], least[cls[head[several]]], cls[head[several]], group[several], length)
+    # parts of the records whose document is the smallest of its class, and whole records
+    of_cls = np.empty(len(order), np.int64)
+    of_cls[order] = cls
+    o = np.argsort(owner, kind="stable")
+    owner, fro, to = owner[o], fro[o], to[o]
+    a, b = np.searchsorted(owner, of_cls, "left"), np.searchsorted(owner, of_cls, "right")
+    times = np.where(gone, 0, b - a)
+    src = np.repeat(np.arange(len(order)), times)
+    nth = np.repeat(a, times) + np.arange(len(src)) - np.repeat(np.cumsum(times) - times, times)
+    w = np.flatnonzero(gone)
+    return np.concatenate([w, src]), np.concatenate([np.zeros(len(w), np.int64), fro[nth]]), np.concatenate([size[w], to[nth] - fro[nth]])
+
+
+def _late_strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, least: np.ndarray, name: np.ndarray, group: np.ndarray, length: int):
+    """Runs of strings that a smaller document's record of the same group has: record's name, from, to. Groups lie together
+    and are worked through some ``SLICE_STRINGS`` strings at a time."""
+    out = [(np.zeros(0, np.int64),) * 3]
+    strings = size - length + 1
+    total = np.cumsum(strings)
+    ends = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1 if len(group) else np.zeros(0, np.int64)
+    a = 0
+    while a < len(start):
+        room = np.searchsorted(total, (total[a - 1] if a else 0) + SLICE_STRINGS, "right")
+        fits = ends[(ends > a) & (ends <= room)]
+        b = int(fits[-1]) if len(fits) else int(ends[ends > a][0])      # a group at least
+        own = slice(a, b)
+        who = np.repeat(np.arange(b - a), strings[own])
+        at = np.arange(len(who)) - np.repeat(np.cumsum(strings[own]) - strings[own], strings[own])
+        values = byte_values(_slices(data, start[own], size[own]))
+        here = (np.cumsum(size[own]) - size[own])[who] + at
+        h, g = spans(rolling(values), here, here + length), spans(rolling(mix(values), _Q2), here, here + length, _Q2)
+        d = least[own][who]
+        o = np.lexsort((d, g, h))
+        new = np.r_[True, (h[o][1:] != h[o][:-1]) | (g[o][1:] != g[o][:-1])]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
+        late = np.zeros(len(o), bool)
+        late[o] = d[o] > d[o][first]
+        mark = np.r_[False, late, False]                       # runs of such strings inside a record
+        cut = np.r_[True, who[1:] != who[:-1], True]
+        up = np.flatnonzero(mark[1:-1] & (~mark[:-2] | cut[:-1]))
+        down = np.flatnonzero(mark[1:-1] & (~mark[2:] | cut[1:]))
+        out.append((name[own][who[up]], at[up], at[down] + length))
+        a = b
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def _bucket(length: int, k: int):
     def run(table: pa.Table) -> pa.Table:
         if table.column("shard")[0].as_py() < 0:          # settled by its chunk
@@ -281,55 +355,15 @@ def _bucket(length: int, k: int):
         size, lead = size.astype(np.int64), lead.astype(np.int64)
         data = np.concatenate([g[4] for _, g in got])
         start = np.cumsum(size) - size
-        suffix = _words_of(data, start + lead, size - lead, -(-(2 * length - k) // 8))
-        gram = 8 * (k // 8) == k and k // 8
-        order, cls = multikey_order([*suffix, size, *_words_of(data, start, lead, -(-2 * (length - k) // 8) or 1)])
-        least = np.full(len(order), np.iinfo(np.int64).max)
-        np.minimum.at(least, cls, doc[order])             # smallest document of each distinct record
-        gone = np.zeros(len(order), bool)
-        gone[order] = doc[order] > least[cls]
-        # distinct records that share their k-gram: compare string by string
-        head = np.unique(cls)
-        rep = order[head]
-        grams = np.stack([suffix[j][rep] for j in range(gram)]) if gram else np.stack(_words_of(data, start[rep] + lead[rep], np.full(len(rep), k), -(-k // 8)))
-        change = np.r_[True, (grams[:, 1:] != grams[:, :-1]).any(axis=0)] if len(rep) else np.zeros(0, bool)
-        group = np.cumsum(change) - 1
-        several = np.bincount(group)[group] > 1 if len(rep) else change
-        part = rep[several]
-        fro, to, owner = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if len(part):
-            strings = size[part] - length + 1
-            who = np.repeat(np.arange(len(part)), strings)
-            at = np.arange(len(who)) - np.repeat(np.cumsum(strings) - strings, strings)
-            values = byte_values(_slices(data, start[part], size[part]))
-            here = (np.cumsum(size[part]) - size[part])[who] + at
-            h, g = spans(rolling(values), here, here + length), spans(rolling(mix(values), _Q2), here, here + length, _Q2)
-            d = least[cls[head[several]]][who]
-            o = np.lexsort((d, g, h))
-            new = np.r_[True, (h[o][1:] != h[o][:-1]) | (g[o][1:] != g[o][:-1])]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))
-            late = np.zeros(len(o), bool)
-            late[o] = d[o] > d[o][first]
-            # runs of such strings inside a record
-            mark = np.r_[False, late, False]
-            cut = np.r_[True, who[1:] != who[:-1], True]
-            up = np.flatnonzero(mark[1:-1] & (~mark[:-2] | cut[:-1]))
-            down = np.flatnonzero(mark[1:-1] & (~mark[2:] | cut[1:]))
-            owner, fro, to = cls[head[several]][who[up]], at[up], at[down] + length
-        # results by chunk: whole records, and parts of the records whose document is the smallest of its class
         pos = pos.astype(np.int64)
-        of_cls = np.empty(len(order), np.int64)
-        of_cls[order] = cls
-        o = np.argsort(owner, kind="stable")
-        owner, fro, to = owner[o], fro[o], to[o]
-        a, b = np.searchsorted(owner, of_cls, "left"), np.searchsorted(owner, of_cls, "right")
-        times = np.where(gone, 0, b - a)
-        src = np.repeat(np.arange(len(order)), times)
-        nth = np.repeat(a, times) + np.arange(len(src)) - np.repeat(np.cumsum(times) - times, times)
-        w = np.flatnonzero(gone)
-        rec = np.concatenate([w, src])
-        begin = np.concatenate([pos[w], pos[src] + fro[nth]])
-        span = np.concatenate([size[w], to[nth] - fro[nth]])
+        rec, begin, span = [], [], []
+        for own in _by_gram(data, start, size, lead, k):
+            r, fro, n_bytes = _shared(data, start[own], size[own], doc[own], lead[own], length, k)
+            r = own[r]
+            rec.append(r)
+            begin.append(pos[r] + fro)
+            span.append(n_bytes)
+        rec, begin, span = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rec, begin, span))
         chunk_no = np.repeat(np.arange(len(n)), n)[rec]
         o = np.lexsort((begin, chunk_no))
         chunk_no, begin, span = chunk_no[o], begin[o], span[o]
