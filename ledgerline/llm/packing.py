@@ -32,6 +32,7 @@ SEQ_TOKENS = 4096
 END_ID = 1
 CACHED_WORDS = 300_000
 CACHED_UNITS = 500_000
+BATCH_ROWS, BATCH_CHARS = 2048, 6 << 20    # texts whose distinct words are looked up together
 
 PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                     ("ids_crc32", pa.int64()), ("ids", pa.binary())])
@@ -70,15 +71,13 @@ class WordIds:
         character of it is special to the tokenizer's rules."""
         low = word.lower()
         core = low.rstrip(".,;:!?%&*$#)|")
-        return (core, low[len(core):]) if core.isalpha() and max(core) < "\u0130" else None
+        return (core, low[len(core):]) if core.isalpha() and (core.isascii() or max(core) < "\u0130") else None
 
     def learn_units(self, units: set[str]) -> None:
-        todo = []
-        for u in units:
-            if (got := self.old_units.get(u)) is not None:
-                self.units[u] = got
-            elif u not in self.units:
-                todo.append(u)
+        units = units.difference(self.units)
+        known = units.intersection(self.old_units)
+        self.units.update((u, self.old_units[u]) for u in known)
+        todo = list(units.difference(known))
         for at in range(0, len(todo), 5000):
             own = todo[at:at + 5000]
             ids = np.array(self.tok.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
@@ -89,11 +88,14 @@ class WordIds:
             self.units.update(zip(own, (raw[x:y] for x, y in zip([0, *cut[:-1].tolist()], cut.tolist()))))
 
     def learn(self, words: set[str]) -> None:
-        split, whole, units = [], [], set()
-        for w in words:
-            if (got := self.old.get(w)) is not None:
-                self.young[w] = got
-            elif two := self.parts(w):
+        young, old = self.young, self.old
+        known = words.intersection(old)
+        young.update((w, old[w]) for w in known)
+        words = words.difference(known)
+        plain = {w for w in words if w.isascii() and w.isalpha() and w.islower()}    # one unit as they are
+        split, whole, units = [], [], set(plain)
+        for w in words.difference(plain):
+            if two := self.parts(w):
                 split.append((w, two))
                 units.update(two)
             else:
@@ -101,16 +103,17 @@ class WordIds:
         units.discard("")
         self.learn_units(units)
         get = self.units.get
-        self.young.update((w, get(a) + get(b, b"")) for w, (a, b) in split)
+        young.update(zip(plain, map(get, plain)))
+        young.update((w, get(a) + get(b, b"")) for w, (a, b) in split)
         for w, e in zip(whole, self.tok.encode_batch(whole, add_special_tokens=False)):
-            self.young[w] = np.array(e.ids, "<u4").tobytes()
+            young[w] = np.array(e.ids, "<u4").tobytes()
         if len(self.units) > CACHED_UNITS:
             self.old_units, self.units = self.units, {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(set().union(*split).difference(self.young))       # each distinct word of a batch is looked up once
         get = self.young.get
-        self.learn({w for words in split for w in words if get(w) is None})
         out = [b"".join(map(get, words)) for words in split]
         if len(self.young) > CACHED_WORDS:
             self.old, self.young = self.young, {}
@@ -122,23 +125,31 @@ def _cut(path: str, seq: int, end: int, with_ids: bool):
         kept = process_cache()
         tok = kept.get(("word ids", path)) or kept.setdefault(("word ids", path), WordIds(path))
         last = np.array([end], "<u4").tobytes()
-        for batch in batches:
+        def pieces(doc_ids, texts):
             rows = {f.name: [] for f in PIECES}
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tok.ids(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(doc_ids, tok.ids(texts)):
                 ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * seq)):
                     own = ids[at:at + 4 * seq]
                     for name, v in (("doc_id", doc_id), ("piece", piece), ("start", at // 4), ("length", len(own) // 4),
                                     ("ids_crc32", zlib.crc32(own)), ("ids", own if with_ids else None)):
                         rows[name].append(v)
-            yield batch_of(PIECES, **rows)
+            return batch_of(PIECES, **rows)
+
+        for batch in batches:
+            doc_ids, texts, first, size = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), 0, 0
+            for i, t in enumerate(texts):
+                size += len(t)
+                if size >= BATCH_CHARS or i == len(texts) - 1:
+                    yield pieces(doc_ids[first:i + 1], texts[first:i + 1])
+                    first, size = i + 1, 0
     return run
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, seq_tokens: int = SEQ_TOKENS, end_id: int = END_ID,
                  with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and, if asked for, the ids as little-endian uint32)."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, BATCH_ROWS)
     return id_and_text(docs).mapInArrow(_cut(path or tokenizer_path(), seq_tokens, end_id, with_ids), ddl(PIECES))
 
 
