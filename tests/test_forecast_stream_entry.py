@@ -64,7 +64,7 @@ def test_entry_and_registry(spark):
     # the training-data queries are there exactly when their package is
     import importlib.util
     there = importlib.util.find_spec("ledgerline.llm") is not None
-    assert len([n for n in q if n.startswith("op")]) == (10 if there else 0) and ("pipeline" in q) == there
+    assert len([n for n in q if n.startswith("op")]) == (13 if there else 0) and ("pipeline" in q) == there
 
 
 def test_stream_scoring_equals_batch(spark):
