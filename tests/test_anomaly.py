@@ -98,3 +98,25 @@ def test_constant_series_has_no_spread(spark):
     from ledgerline.operators.anomaly import detect_zscore
     df = spark.range(100_000).select(F.lit("a").alias("asset"), F.lit(0.1).alias("price")).repartition(8)
     assert detect_zscore(df).where("is_anomaly_zscore or price_z_score <> 0").count() == 0
+
+
+def test_forest_sample_is_drawn_without_a_lambda(spark):
+    """Pairs of row and tree are tried in generated code, and walks by blocks add up to the trees' own paths."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.iforest import fit_forest, path_sums
+    df = spark.range(900).select(F.lit("a").alias("asset"), F.col("id").alias("row_id"), F.rand(1).alias("p"), F.rand(2).alias("q"))
+    state = fit_forest(df, ["asset"], ["p", "q"], n_trees=5, max_samples=64)
+    assert "lambda" not in state["trees"]._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.psi for r in state["trees"].collect()] == [64] * 5
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3))
+    x[5, 1] = np.nan
+    trees = [grow_tree(x[6:70], np.random.default_rng(i), 6) for i in range(4)]
+
+    def by_hand(row, tree, at=0):
+        feat, thr, left, right, leaf = tree
+        return leaf[at] if leaf[at] >= 0 else by_hand(row, tree, left[at] if row[feat[at]] < thr[at] else right[at])
+    want = [sum(by_hand(r, t) for t in trees) for r in x]
+    assert np.allclose(path_sums(x, trees, block_rows=128), want)
