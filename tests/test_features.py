@@ -64,3 +64,21 @@ def test_first_last_rows(spark):
     first = {r.asset: r.row_id for r in W.first_last(fx5(spark)).collect()}
     last = {r.asset: r.row_id for r in W.first_last(fx5(spark), last=True).collect()}
     assert first == {"Stock A": 0, "Bond A": 100} and last == {"Stock A": 19, "Bond A": 119}
+
+
+def test_windows_of_few_series_spread_over_tasks(spark):
+    """One long series is many blocks without being asked for, with the same values as in one; calendar and asset columns
+    are not part of what is shuffled and kept for the medians."""
+    from ledgerline.functions.sequence import bounded_window
+    from ledgerline.operators.features import model_features
+
+    df = spark.range(100_000).select(F.lit("a").alias("asset"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") / 50).cast("int")).alias("date"),
+                                     (F.col("id") * 37 % 1009).cast("double").alias("price"), F.col("id").alias("row_id"))
+    seen = []
+    bounded_window(df.withColumn("_pos", F.col("row_id") + 1), ["asset"], 30, lambda d, w: seen.append(d.select("_block").distinct().count()) or d)
+    assert seen[0] >= 4
+    many, one = model_features(df), model_features(df, block_rows=1 << 20)
+    assert many.columns == one.columns and many.columns[:6] == ["asset", "date", "price", "row_id", "year", "month"]
+    assert many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
+    kept = many._jdf.queryExecution().withCachedData().toString().split("InMemoryRelation [")[1].split("]")[0]
+    assert "price_lag_14" in kept and "is_quarter_end" not in kept and "asset_a" not in kept
