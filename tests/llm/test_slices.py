@@ -48,3 +48,28 @@ def test_token_batches(spark, monkeypatch):
     want = sorted(map(str, packing.token_pieces(docs).collect()))
     monkeypatch.setattr(packing, "BATCH_CHARS", 100)
     assert sorted(map(str, packing.token_pieces(docs).collect())) == want
+
+
+def test_join_sends_sets_and_signatures_as_differences():
+    """The sets of the second reading and the signatures of the prefixes take less room than their numbers, and come back whole."""
+    import pyarrow as pa
+
+    from ledgerline.llm import ngram_join as J
+    from ledgerline.llm.common import U64, dec
+
+    rng = np.random.default_rng(2)
+    docs = [" ".join(f"w{k}" for k in rng.integers(0, 10 ** 6, 300)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"text": docs, "p1": np.zeros(60, np.int64), "p2": np.zeros(60, np.int64)})
+    none, want = np.zeros(0, U64), J.gram_sets(batch)
+    sent = [b for out in J._sets(5, none, none, np.ones(1 << 21, np.uint32))([batch]) for b in out.column("grams").to_pylist()]
+    assert sum(map(len, sent)) < 0.92 * sum(g.nbytes for g in want)
+    assert all((dec(b)[0] == g).all() for b, g in zip(sent, want))
+    shards = [dec(b) for out in J._prefixes(5, 75, none, none, 5)([batch]) for b in out.column("blob").to_pylist()]
+    assert all((s[2][1:] > s[2][:-1]).all() for s in shards)
+    size = {J.signature(g): (len(g), set(g[:J.prefix_size(len(g))].tolist())) for g in want}
+    got = {}
+    for gram, node, sig, sizes in shards:
+        for k, s in enumerate(sig.view(np.int64).tolist()):
+            assert size[s][0] == sizes[k]
+            got.setdefault(s, set()).update(gram[node == k].tolist())
+    assert got == {s: g for s, (_, g) in size.items()}
