@@ -122,8 +122,8 @@ class WordIds:
 
 def _cut(path: str, seq: int, end: int, with_ids: bool):
     def run(batches):
-        kept = process_cache()
-        tok = kept.get(("word ids", path)) or kept.setdefault(("word ids", path), WordIds(path))
+        kept = process_cache("word ids")
+        tok = kept.get(path) or kept.setdefault(path, WordIds(path))
         last = np.array([end], "<u4").tobytes()
         def pieces(doc_ids, texts):
             rows = {f.name: [] for f in PIECES}

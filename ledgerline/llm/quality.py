@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.broadcast import broadcast_if_small
-from ledgerline.llm.common import (NULL_ID, U64, Words, batch_of, dec, enc, free_names, give_back_ids, id_and_text, keep_table, mix, shard_bits,
-                                   small_batches, texts)
+from ledgerline.llm.common import (NULL_ID, U64, Words, batch_of, dec, enc, free_names, give_back_ids, id_and_text, keep_table, lean, mix,
+                                   shard_bits, slices, small_batches, texts)
 
 START, END = 2, 3
 DITTO = 0x110000        # above all characters; the d-th repeat of a word in a row is DITTO + d
@@ -85,14 +85,15 @@ def symbols(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def trigrams(data: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Each text's distinct trigrams (three 21-bit symbols) with counts."""
-    s, cut = symbols(data, off)
-    s = s.astype(U64)
-    key = (s[:-2] << U64(42)) | (s[1:-1] << U64(21)) | s[2:] if len(s) > 2 else np.zeros(0, U64)
     out = []
-    for a, b in zip(cut[:-1], cut[1:]):
-        g = np.sort(key[a:b - 2])
-        new = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
-        out.append((g[new], np.diff(np.r_[new, len(g)])))
+    for part in slices(data, off):
+        s, cut = symbols(*part)
+        s = s.astype(U64)
+        key = (s[:-2] << U64(42)) | (s[1:-1] << U64(21)) | s[2:] if len(s) > 2 else np.zeros(0, U64)
+        for a, b in zip(cut[:-1], cut[1:]):
+            g = np.sort(key[a:b - 2])
+            new = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            out.append((g[new], np.diff(np.r_[new, len(g)])))
     return out
 
 
@@ -259,17 +260,17 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, sla
     d = d.withColumn("h", F.xxhash64("text", "lang"))
     size = d.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     bits = shard_bits(int(size) // 3, per_shard)           # a posting for about three bytes
-    post = keep_table(d.mapInArrow(_post(chunk_bytes, bits), _POST_DDL), "postings")
+    post = keep_table(d.mapInArrow(lean(_post(chunk_bytes, bits)), _POST_DDL), "postings")
     rows = post.where("kind = 0").select("chunk", "at", "doc_id", "h", "lang", "n")
     sent = post.where("kind = 1").select("chunk", "at", "blob")
     good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     marked = keep_table(rows.join(good.withColumn("good", F.lit(True)), "doc_id", "left")
                         .withColumn("good", F.coalesce("good", F.lit(False))), "rows")
     trusted = marked.where("good").groupBy("chunk").agg(F.collect_list("at").alias("trusted"))
-    seen = keep_table(sent.join(trusted, "chunk", "left").groupBy("at").applyInArrow(_train, "at long, gram long, n long"), "trigrams")
+    seen = keep_table(sent.join(trusted, "chunk", "left").groupBy("at").applyInArrow(lean(_train), "at long, gram long, n long"), "trigrams")
     prob = kneser_ney(seen)
-    sums = sent.groupBy("at").cogroup(prob.groupBy("at")).applyInArrow(_score, "chunk long, blob binary")
-    sums = sums.groupBy("chunk").applyInArrow(_sum, "chunk long, at long, logp double")
+    sums = sent.groupBy("at").cogroup(prob.groupBy("at")).applyInArrow(lean(_score), "chunk long, blob binary")
+    sums = sums.groupBy("chunk").applyInArrow(lean(_sum), "chunk long, at long, logp double")
     scored = keep_table(marked.join(sums, ["chunk", "at"]).withColumn("x", -F.col("logp") / F.col("n")), "scores")
 
     g = scored.where("good")

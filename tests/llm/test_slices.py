@@ -73,3 +73,88 @@ def test_join_sends_sets_and_signatures_as_differences():
             assert size[s][0] == sizes[k]
             got.setdefault(s, set()).update(gram[node == k].tolist())
     assert got == {s: g for s, (_, g) in size.items()}
+
+
+def test_words_of_a_batch_are_worked_out_in_stretches(monkeypatch):
+    """N-grams and symbols are those of all texts at once, but room grows with a stretch of texts, not with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ledgerline.llm import common, ngram_join, quality
+
+    rng = np.random.default_rng(4)
+    words = np.array([f"w{k}" for k in range(5000)] + ["Äé", "  ", "x x x", "\n"])
+    docs = ["", " ", *(" ".join(rng.choice(words, int(n))) for n in rng.integers(0, 40, 200)), ""]
+    batch = pa.RecordBatch.from_pydict({"text": docs})
+    monkeypatch.setattr(common, "SLICE_BYTES", 1 << 30)
+    grams, marks = ngram_join.gram_sets(batch), quality.trigrams(*common.texts(batch))
+    for most in (1, 100, 3000):
+        monkeypatch.setattr(common, "SLICE_BYTES", most)
+        assert [g.tolist() for g in ngram_join.gram_sets(batch)] == [g.tolist() for g in grams]
+        assert [(g.tolist(), n.tolist()) for g, n in quality.trigrams(*common.texts(batch))] == [(g.tolist(), n.tolist()) for g, n in marks]
+    monkeypatch.undo()
+
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(rng.choice(words, 1500)) for _ in range(400)]})
+    for work in (lambda: ngram_join.gram_sets(batch), lambda: quality.trigrams(*common.texts(batch))):
+        tracemalloc.start()
+        kept = work()
+        left, peak = tracemalloc.get_traced_memory()
+        tracemalloc.stop()
+        assert len(kept) == 400 and peak - left < 12 * batch.nbytes
+
+
+def test_workers_keep_one_kind_and_give_back(monkeypatch):
+    from ledgerline.llm import common
+
+    common.process_cache("word ids")["path"] = 1
+    assert common.process_cache("word ids") == {"path": 1}
+    common.rolling(np.arange(5, dtype=np.uint64))
+    assert common.process_cache("word ids") == {}
+    told = []
+    monkeypatch.setattr(common, "give_back_memory", lambda: told.append(1))
+
+    def doubled(batches):
+        for b in batches:
+            yield 2 * b
+
+    def failing(table):
+        raise ValueError(table)
+
+    assert list(common.lean(doubled)([1, 2])) == [2, 4] and len(told) == 1
+    common.lean(doubled)([1]).close()
+    assert common.lean(lambda t: t + 1)(1) == 2 and common.lean(lambda a, b: a + b)(1, 2) == 3 and len(told) == 3
+    try:
+        common.lean(failing)(1)
+    except ValueError:
+        assert len(told) == 4
+
+
+def test_prefixes_meet_as_by_hand():
+    """Pairs of sets that share prefix n-grams, from several messages with sets sent twice; none where all n-grams come once."""
+    import pyarrow as pa
+
+    from ledgerline.llm import ngram_join as J
+    from ledgerline.llm.common import U64, enc
+
+    rng = np.random.default_rng(8)
+    sets = {int(s): (int(rng.integers(90, 130)), np.sort(rng.choice(400, 12, replace=False)).astype(U64)) for s in rng.integers(1, 1 << 62, 60)}
+
+    def message(sigs):
+        node = np.repeat(np.arange(len(sigs), dtype=np.uint32), [len(sets[s][1]) for s in sigs])
+        gram = np.concatenate([sets[s][1] for s in sigs])
+        o = np.argsort(gram, kind="stable")
+        return enc(gram[o], node[o], np.array(sigs, np.int64).view(U64), np.array([sets[s][0] for s in sigs], np.uint32))
+
+    sigs = sorted(sets)
+    parts = [message(p) for p in (sigs[:25], sigs[20:40], sigs[35:])]
+    got = J._meet(75, 24)(pa.table({"blob": pa.array(parts, pa.binary())})).to_pylist()
+    want = {}
+    for i, a in enumerate(sigs):
+        for b in sigs[i + 1:]:
+            n = len(np.intersect1d(sets[a][1], sets[b][1]))
+            if n and 100 * min(sets[a][0], sets[b][0]) >= 75 * max(sets[a][0], sets[b][0]):
+                want[a, b] = (sets[a][0], sets[b][0], n)
+    assert {(r["a"], r["b"]): (r["na"], r["nb"], r["n"]) for r in got} == want and all(r["kind"] == 0 for r in got)
+    alone = enc(np.arange(9, dtype=U64), np.zeros(9, np.uint32), np.array([7], U64), np.array([9], np.uint32))
+    assert J._meet(75, 24)(pa.table({"blob": pa.array([alone], pa.binary())})).num_rows == 0
