@@ -4,7 +4,8 @@ Every string of ``length`` bytes holds a k-gram of smallest hash; strings that s
 that k-gram and are next to each other form a run, one suffix record per run,
 led by the k-gram. Only runs whose k-gram occurs in two documents can matter: a
 first pass finds them (each chunk sends the distinct hash cells of its k-grams,
-as in a count-min row; none that repeats is lost). Their suffixes are
+as in a count-min row; none that repeats is lost). Smallest hashes crowd at small numbers, so they are mixed once more
+before their upper bits name a cell and its shard. Their suffixes are
 range-partitioned by leading bytes with sampled splitters; a bucket sorts its
 suffixes by multikey quicksort, 8 bytes a key, refining only ties, so equal
 records become neighbours. The smallest document of each distinct record is kept; records that
@@ -33,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import (U64, Chunk, batch_of, byte_values, ddl, dec, enc, give_back_ids, keep_table, leading, member,
-                                   mix, pack_corpus, rolling, shard_bits, spans, with_lists)
+from ledgerline.llm.common import (U64, Chunk, batch_of, byte_values, ddl, dec, enc, give_back_ids, keep_table, leading, lean,
+                                   member, mix, pack_corpus, rolling, shard_bits, spans, with_lists)
 from ledgerline.llm.substring_dedup import CELLS_PER_WINDOW, TO_CHUNK, TO_SHARD, cells_of, _by_shard
 
 LENGTH, K = 50, 24
@@ -42,6 +43,7 @@ PER_SHARD = 1 << 20
 BUCKET_RECORDS = 50_000
 SLICE_RECORDS, SLICE_STRINGS = 20_000, 200_000   # of a bucket, worked on at a time
 HOT_PART = 10
+STRETCH = 1 << 17    # strings of a chunk whose k-grams are worked out together
 MOST_SPLITTERS = 10_000
 STRINGS = 1 << 40     # shards from here on hold strings of hot records
 _Q2 = 0x94D049BB133111EB
@@ -51,25 +53,31 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed
 
 
 class Runs:
-    """Runs of neighbouring strings with one smallest k-gram: start, number of strings, document, that k-gram's hash and place."""
+    """Runs of neighbouring strings with one smallest k-gram: start, number of strings, document, that k-gram's hash and place,
+    and the hash of the whole run. Worked out ``STRETCH`` strings at a time; a run ends where its stretch does."""
 
     def __init__(self, chunk: Chunk, length: int, k: int):
+        n = len(chunk.data) - length + 1
+        got = [np.zeros((6, 0), np.int64), *(self._stretch(chunk, a, min(STRETCH, n - a), length, k) for a in range(0, n, STRETCH))]
+        self.start, self.count, self.doc, self.at = (np.concatenate([g[i] for g in got]) for i in range(4))
+        self.low, self.same = (np.concatenate([g[i].astype(U64) for g in got]) for i in (4, 5))
+
+    @staticmethod
+    def _stretch(chunk: Chunk, a: int, n: int, length: int, k: int) -> tuple[np.ndarray, ...]:
+        """Of the runs among the ``n`` strings from place ``a`` on."""
         w = length - k + 1
-        data, off = chunk.data, chunk.offsets
-        self.start = self.count = self.doc = self.at = np.zeros(0, np.int64)
-        self.low = np.zeros(0, U64)
-        n = len(data) - length + 1
-        if n <= 0:
-            return
+        data, off = chunk.data[a:a + n + length - 1], chunk.offsets
+        prefix = rolling(byte_values(data))
         pos = np.arange(len(data) - k + 1)
-        grams = spans(rolling(byte_values(data)), pos, pos + k)
+        grams = spans(prefix, pos, pos + k)
         low, width = grams, 1
         while 2 * width <= w:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
         low = np.minimum(low[:n], low[w - width:w - width + n])
-        doc = np.searchsorted(off, np.arange(n), "right") - 1
-        fits = np.arange(n) + length <= off[doc + 1]
+        here = a + np.arange(n)
+        doc = np.searchsorted(off, here, "right") - 1
+        fits = here + length <= off[doc + 1]
         new = np.r_[True, (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])]
         start = np.flatnonzero(new)
         count = np.diff(np.r_[start, n])
@@ -81,23 +89,23 @@ class Runs:
         parts = -(-count // w)
         first = np.repeat(np.cumsum(parts) - parts, parts)
         nth = np.arange(len(first)) - first
-        self.start = np.repeat(start, parts) + nth * w
-        self.count = np.minimum(np.repeat(count, parts) - nth * w, w)
-        self.doc, self.low = doc[self.start], low[self.start]
+        start = np.repeat(start, parts) + nth * w
+        count = np.minimum(np.repeat(count, parts) - nth * w, w)
+        doc, low = doc[start], low[start]
         # the k-gram lies at or after the run's last string's start
-        tail = self.start + self.count - 1
-        window = tail[:, None] + np.arange(w)[None, :] if len(tail) * w < 5_000_000 else None
-        if window is not None:
-            self.at = tail + np.argmax(grams[window] == self.low[:, None], axis=1)
-        else:
-            self.at = np.concatenate([t + np.argmax(grams[t[:, None] + np.arange(w)[None, :]] == v[:, None], axis=1)
-                                      for t, v in ((tail[i:i + 100_000], self.low[i:i + 100_000]) for i in range(0, len(tail), 100_000))])
+        at = tail = start + count - 1
+        for i in range(0, len(tail), 20_000):
+            t, v = tail[i:i + 20_000], low[i:i + 20_000]
+            at[i:i + 20_000] = t + np.argmax(grams[t[:, None] + np.arange(w)[None, :]] == v[:, None], axis=1)
+        size = count + length - 1
+        same = spans(prefix, start, start + size) ^ mix(size.astype(U64))
+        # smallest hashes are small: mixed, else the first of 64 shards (by upper bits) gets a third of all runs
+        return a + start, count, doc, a + at, mix(low), same
 
 
-def _own_records(c: Chunk, runs: Runs, length: int, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _own_records(c: Chunk, runs: Runs, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of the runs ``keep``: the document, and whether an earlier document of the chunk has the same record."""
-    start, size, doc = runs.start[keep], runs.count[keep] + length - 1, c.ids[runs.doc[keep]]
-    same = spans(rolling(byte_values(c.data)), start, start + size) ^ mix(size.astype(U64))
+    doc, same = c.ids[runs.doc[keep]], runs.same[keep]
     order = np.lexsort((doc, same))
     head = np.r_[True, same[order][1:] != same[order][:-1]] if len(order) else np.zeros(0, bool)
     first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))] if len(order) else order
@@ -114,7 +122,7 @@ def _sketch(length: int, k: int, bits: int, cell_bits: int):
                 runs = Runs(c, length, k)
                 # one entry per cell; "2 or more" only if two documents of the chunk have it; the records the chunk would send
                 cell = cells_of(runs.low, cell_bits)
-                doc, later = _own_records(c, runs, length, np.arange(len(cell)))
+                doc, later = _own_records(c, runs, np.arange(len(cell)))
                 order = np.lexsort((doc, cell))
                 cell, doc = cell[order], doc[order]
                 new = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, int)
@@ -157,19 +165,40 @@ def _spans_of(at: np.ndarray, length: int) -> bytes:
     return enc(at[up].astype(U64), at[np.r_[up[1:], len(at)] - 1] - at[up] + length)
 
 
+def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of many slices, one after the other."""
+    shift = np.repeat(start - (np.cumsum(size) - size), size)
+    return data[np.arange(int(size.sum())) + shift]
+
+
+def _string_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Every string of many slices: its slice, its place there and two hashes."""
+    strings = size - length + 1
+    who = np.repeat(np.arange(len(start)), strings)
+    at = np.arange(len(who)) - np.repeat(np.cumsum(strings) - strings, strings)
+    values = byte_values(_slices(data, start, size))
+    here = (np.cumsum(size) - size)[who] + at
+    return who, at, spans(rolling(values), here, here + length), spans(rolling(mix(values), _Q2), here, here + length, _Q2)
+
+
 def _hot_strings(c: Chunk, start: np.ndarray, count: np.ndarray, doc: np.ndarray, length: int, bits: int) -> tuple[np.ndarray, list]:
     """Places of the strings that an earlier document of the chunk has; the others as messages to the shards of their hashes."""
     at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     doc = np.repeat(doc, count)
-    values = byte_values(c.data)
-    h, g = spans(rolling(values), at, at + length), spans(rolling(mix(values), _Q2), at, at + length, _Q2)
+    h, g = np.empty(len(at), U64), np.empty(len(at), U64)
+    ends, a = np.cumsum(count), 0
+    while a < len(start):
+        done = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + SLICE_STRINGS, "right")))
+        h[done:ends[b - 1]], g[done:ends[b - 1]] = _string_hashes(c.data, start[a:b], count[a:b] + length - 1, length)[2:]
+        a = b
     o = np.lexsort((doc, g, h))
     at, doc, h, g = at[o], doc[o], h[o], g[o]
     new = np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]
     late = doc > doc[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
     settled, own = np.sort(at[late]), ~late
     at, doc, h, g = at[own], doc[own], h[own], g[own]
-    return settled, [(STRINGS + s, enc(h[a:b], g[a:b], doc[a:b], at[a:b].astype(np.uint32 if len(values) < 1 << 32 else U64)))
+    return settled, [(STRINGS + s, enc(h[a:b], g[a:b], doc[a:b], at[a:b].astype(np.uint32 if len(c.data) < 1 << 32 else U64)))
                      for s, a, b in _by_shard(h, bits)]
 
 
@@ -187,12 +216,6 @@ def _strings(table: pa.Table, length: int) -> pa.Table:
     return pa.Table.from_batches([batch_of(TO_CHUNK, chunk=[c for c, _ in back], blob=[b for _, b in back])])
 
 
-def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The bytes of many slices, one after the other."""
-    shift = np.repeat(start - (np.cumsum(size) - size), size)
-    return data[np.arange(int(size.sum())) + shift]
-
-
 def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray, weight: np.ndarray, subs: int, hot_bits: int):
     """Records to the buckets (0 and up), strings of hot records to the shards of their hashes (``STRINGS`` and up); what
     a chunk settles itself goes back to it (a group of its own, below 0)."""
@@ -209,7 +232,7 @@ def _suffixes(length: int, k: int, cell_bits: int, splitters: np.ndarray, weight
                 cell = cells_of(runs.low, cell_bits)
                 keep = np.flatnonzero(member(cell, flagged))
                 start, size, at, low = runs.start[keep], runs.count[keep] + length - 1, runs.at[keep], runs.low[keep]
-                doc, later = _own_records(c, runs, length, keep)
+                doc, later = _own_records(c, runs, keep)
                 out = []
                 if later.any():
                     out.append((-1 - chunk, chunk, enc(start[later].astype(U64), size[later])))
@@ -314,8 +337,7 @@ def _late_strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, least:
     """Runs of strings that a smaller document's record of the same group has: record's name, from, to. Groups lie together
     and are worked through some ``SLICE_STRINGS`` strings at a time."""
     out = [(np.zeros(0, np.int64),) * 3]
-    strings = size - length + 1
-    total = np.cumsum(strings)
+    total = np.cumsum(size - length + 1)
     ends = np.flatnonzero(np.r_[group[1:] != group[:-1], True]) + 1 if len(group) else np.zeros(0, np.int64)
     a = 0
     while a < len(start):
@@ -323,11 +345,7 @@ def _late_strings(data: np.ndarray, start: np.ndarray, size: np.ndarray, least:
         fits = ends[(ends > a) & (ends <= room)]
         b = int(fits[-1]) if len(fits) else int(ends[ends > a][0])      # a group at least
         own = slice(a, b)
-        who = np.repeat(np.arange(b - a), strings[own])
-        at = np.arange(len(who)) - np.repeat(np.cumsum(strings[own]) - strings[own], strings[own])
-        values = byte_values(_slices(data, start[own], size[own]))
-        here = (np.cumsum(size[own]) - size[own])[who] + at
-        h, g = spans(rolling(values), here, here + length), spans(rolling(mix(values), _Q2), here, here + length, _Q2)
+        who, at, h, g = _string_hashes(data, start[own], size[own], length)
         d = least[own][who]
         o = np.lexsort((d, g, h))
         new = np.r_[True, (h[o][1:] != h[o][:-1]) | (g[o][1:] != g[o][:-1])]
@@ -410,9 +428,9 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, k: int = K, chunk_bytes:
         cuts = chunks.select(F.explode("lead").alias("lead")).agg(
             F.percentile_approx("lead", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]
         splitters, weight = np.unique(np.array(cuts or [], np.int64), return_counts=True)
-    sketches = chunks.mapInArrow(_sketch(length, k, bits, cell_bits), ddl(TO_SHARD))
-    repeated = keep_table(sketches.groupBy("shard").applyInArrow(_repeated(bucket_records // HOT_PART), ddl(TO_CHUNK)), "cells")
+    sketches = chunks.mapInArrow(lean(_sketch(length, k, bits, cell_bits)), ddl(TO_SHARD))
+    repeated = keep_table(sketches.groupBy("shard").applyInArrow(lean(_repeated(bucket_records // HOT_PART)), ddl(TO_CHUNK)), "cells")
     # strings are at most as many as bytes, some 14 a run: four times the shards of the runs hold them
-    sent = with_lists(chunks, repeated).mapInArrow(_suffixes(length, k, cell_bits, splitters, weight, subs, bits + 2), ddl(TO_SHARD))
-    gone = keep_table(sent.groupBy("shard").applyInArrow(_bucket(length, k), ddl(TO_CHUNK)), "gone")
-    return give_back_ids(with_lists(chunks, gone).mapInArrow(_remove, ddl(RESULT)))
+    sent = with_lists(chunks, repeated).mapInArrow(lean(_suffixes(length, k, cell_bits, splitters, weight, subs, bits + 2)), ddl(TO_SHARD))
+    gone = keep_table(sent.groupBy("shard").applyInArrow(lean(_bucket(length, k)), ddl(TO_CHUNK)), "gone")
+    return give_back_ids(with_lists(chunks, gone).mapInArrow(lean(_remove), ddl(RESULT)))

@@ -43,6 +43,52 @@ def test_suffix_buckets_in_slices(spark, monkeypatch):
         assert sorted(((r.doc_id, r.n_removed, bytes(r.kept)) for r in got), key=str) == want
 
 
+def one_chunk(texts):
+    """A batch with a chunk of the texts, as pack_corpus stores it."""
+    import struct
+
+    import pyarrow as pa
+
+    from ledgerline.llm.common import squeeze
+    ids, ends = np.arange(len(texts)), np.cumsum([0] + [len(t) for t in texts])
+    raw = struct.pack("<Q", len(texts)) + ids.tobytes() + ends.tobytes() + b"".join(texts)
+    return pa.RecordBatch.from_pydict({"chunk": [0], "blob": [squeeze(raw)]})
+
+
+def test_suffix_shards_are_filled_evenly():
+    """Smallest hashes are small numbers: shards by their upper bits got 27 times their share, cells as well."""
+    from ledgerline.llm.common import dec
+    rng = np.random.default_rng(8)
+    batch = one_chunk([bytes(rng.integers(97, 123, 2000, dtype=np.uint8)) for _ in range(100)])
+    out, = suffix_dedup._sketch(50, 24, 4, 24)([batch])
+    n = [len(dec(b)[0]) for b in out.column("blob").to_pylist()]
+    assert len(n) == 16 and max(n) < 1.5 * sum(n) / 16
+
+
+def test_suffix_runs_in_stretches(spark, monkeypatch):
+    """Runs cut where a stretch of the chunk ends, and strings of hot runs hashed a few at a time, change no result."""
+    docs = table(spark)
+    want = by_hand([(r.doc_id, r.text) for r in docs.collect()])
+    for stretch, strings in ((1 << 17, 200_000), (61, 7), (1, 1)):
+        monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+        monkeypatch.setattr(suffix_dedup, "SLICE_STRINGS", strings)
+        got = suffix_dedup.suffix_dedup(docs, chunk_bytes=3000, per_shard=200, bucket_records=20).collect()
+        assert sorted(((r.doc_id, r.n_removed, bytes(r.kept)) for r in got), key=str) == want
+
+
+def test_suffix_room_does_not_grow_with_the_text():
+    """The k-grams of a chunk, or of one long text, are worked out in stretches."""
+    import tracemalloc
+    rng = np.random.default_rng(9)
+    for n in (1, 200):
+        batch = one_chunk([bytes(rng.integers(97, 123, (1 << 20) // n, dtype=np.uint8)) for _ in range(n)])
+        tracemalloc.start()
+        list(suffix_dedup._sketch(50, 24, 4, 31)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 50 << 20
+
+
 def test_token_batches(spark, monkeypatch):
     docs = table(spark)
     want = sorted(map(str, packing.token_pieces(docs).collect()))
